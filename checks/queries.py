@@ -209,8 +209,12 @@ def segment_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- products and categories ------------------------------------------------
 
 
+VIEWS = (schemas.VIEW,)
+VIEWS_AND_PURCHASES = (schemas.VIEW, schemas.PURCHASE)
+
+
 def _views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products.product_views(read_shop_events(spark, sf_dir))
+    return products.product_views(read_shop_events(spark, sf_dir, VIEWS))
 
 
 @register
@@ -233,13 +237,15 @@ def product_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def category_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conversion = categories.category_conversion(read_shop_events(spark, sf_dir))
+    events = read_shop_events(spark, sf_dir, VIEWS_AND_PURCHASES)
+    conversion = categories.category_conversion(events)
     return plain(conversion.drop("first_seen"))
 
 
 @register
 def category_conversion_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conversion = categories.category_conversion(read_shop_events(spark, sf_dir))
+    events = read_shop_events(spark, sf_dir, VIEWS_AND_PURCHASES)
+    conversion = categories.category_conversion(events)
     return plain(categories.category_conversion_ranked(conversion))
 
 
@@ -420,7 +426,8 @@ def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def constraint_violations_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category rows with a rate that may exceed its column."""
-    conversion = categories.category_conversion(read_shop_events(spark, sf_dir))
+    events = read_shop_events(spark, sf_dir, VIEWS_AND_PURCHASES)
+    conversion = categories.category_conversion(events)
     product = F.col("views") * F.col("purchases") * 10
     rows = conversion.withColumn("conversion_rate", product.cast("double"))
     return plain(constraints.constraint_violations(rows, schemas.CATEGORY_CONVERSION))

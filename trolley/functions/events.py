@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from trolley import schemas
 
 
-def has_text(column: str | Column) -> Column:
-    """Neither NULL nor empty; never NULL itself."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(column != "", F.lit(False))
+def has_text(column: str) -> Column:
+    """Neither NULL nor empty. NULL for NULL, so only to be used as a filter or
+    in an aggregate; kept this plain, it is pushed down to the scan."""
+    return F.col(column) != ""
 
 
 def is_type(event_type: str) -> Column:

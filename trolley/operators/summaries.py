@@ -9,7 +9,7 @@ from trolley import schemas
 from trolley.functions import rates, report
 from trolley.functions.events import has_text
 from trolley.operators.products import top_viewed_products
-from trolley.operators.users import segment_samples, user_segments
+from trolley.operators.users import first_users, ids_in_order, user_segments
 
 
 def daily_summary(activity: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def daily_summary(activity: DataFrame) -> DataFrame:
     of the events serves all figures and the second one moves a row per task
     and day. Events without valid user count as events only.
     """
-    segmented = has_text("user_id") & F.col("acted")
+    segmented = has_text("user_id") & F.col("acted")  # counted only where true
     figures = activity.groupBy("report_date").agg(
         F.sum("events").alias("total_events"),
         F.count_if(segmented & F.col("bought")).alias("buyer_count"),
@@ -46,14 +46,15 @@ def summary_rows(
     stages it. What is collected into a row is short by definition: ten users
     a segment, five products, and the categories of the day.
     """
-    samples = segment_samples(user_segments(activity)).groupBy("report_date")
-    ids = samples.agg(
-        *[
-            F.first(
-                F.when(F.col("segment") == segment, F.col("user_ids")), ignorenulls=True
-            ).alias(segment)
-            for segment in (schemas.BUYER, schemas.WINDOW_SHOPPER)
-        ]
+    ids = (
+        first_users(user_segments(activity))
+        .groupBy("report_date")
+        .agg(
+            *[
+                ids_in_order(F.col("segment") == segment).alias(segment)
+                for segment in (schemas.BUYER, schemas.WINDOW_SHOPPER)
+            ]
+        )
     )
     ranked = F.struct("rank", "product_id", F.col("view_count").alias("views"))
     top = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley import schemas
@@ -19,7 +19,7 @@ def user_activity(events: DataFrame) -> DataFrame:
     typed = has_text("event_type")
     return events.groupBy(F.col("event_date").alias("report_date"), "user_id").agg(
         F.count("*").alias("events"),
-        F.bool_or(typed).alias("acted"),
+        F.coalesce(F.bool_or(typed), F.lit(False)).alias("acted"),
         F.coalesce(F.bool_or(is_type(schemas.PURCHASE)), F.lit(False)).alias("bought"),
         F.min(F.when(typed, F.col("event_timestamp"))).alias("first_seen"),
     )
@@ -72,8 +72,8 @@ def user_action_sets(events: DataFrame) -> DataFrame:
     )
 
 
-def segment_samples(segments: DataFrame, size: int = 10) -> DataFrame:
-    """The first users of each day and segment, in the order they appeared.
+def first_users(segments: DataFrame, size: int = 10) -> DataFrame:
+    """The first users of each day and segment with their position.
 
     The rank filter is applied on both sides of the shuffle, so each task sends
     at most ``size`` users per day and segment.
@@ -81,10 +81,22 @@ def segment_samples(segments: DataFrame, size: int = 10) -> DataFrame:
     arrival = Window.partitionBy("report_date", "segment").orderBy(
         F.asc_nulls_last("first_seen"), F.asc("user_id")
     )
-    first = segments.withColumn("position", F.row_number().over(arrival)).where(
+    return segments.withColumn("position", F.row_number().over(arrival)).where(
         F.col("position") <= size
     )
-    ordered = F.array_sort(F.collect_list(F.struct("position", "user_id")))
-    return first.groupBy("report_date", "segment").agg(
-        F.transform(ordered, lambda entry: entry["user_id"]).alias("user_ids")
+
+
+def ids_in_order(only: Column | None = None) -> Column:
+    """Aggregate of the user ids of ``first_users``, of some rows if ``only``."""
+    entry = F.struct("position", "user_id")
+    kept = entry if only is None else F.when(only, entry)
+    return F.transform(F.array_sort(F.collect_list(kept)), lambda e: e["user_id"])
+
+
+def segment_samples(segments: DataFrame, size: int = 10) -> DataFrame:
+    """The ids of the first users of each day and segment, in order of appearance."""
+    return (
+        first_users(segments, size)
+        .groupBy("report_date", "segment")
+        .agg(ids_in_order().alias("user_ids"))
     )

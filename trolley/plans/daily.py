@@ -25,7 +25,7 @@ from trolley.operators.users import user_activity, user_segments
 from trolley.session import build_session, stage
 from trolley.settings import Settings
 from trolley.sinks.documents import write_reports, write_summaries
-from trolley.sinks.tables import create_tables, upsert_all
+from trolley.sinks.tables import create_tables, days_in, upsert_all
 from trolley.sources.event_logs import read_daily_logs, report_day
 
 
@@ -51,7 +51,11 @@ def store(
     root: str,
     now: Column | None = None,
 ) -> None:
-    """Upsert summaries, products, categories and, if given, user segments."""
+    """Upsert summaries, products, categories and, if given, user segments.
+
+    Takes the results of ``daily_results``: the rows of all tables are short
+    projections of what is staged there.
+    """
     create_tables(summaries.sparkSession, root)
     batches = {
         schemas.DAILY_SUMMARY: daily_summary_rows(summaries),
@@ -60,7 +64,7 @@ def store(
     }
     if segments is not None:
         batches[schemas.USER_SEGMENTS] = segments
-    upsert_all(batches, root, now)
+    upsert_all(batches, root, now, days_in(summaries, "report_date"))
 
 
 def run(spark: SparkSession, settings: Settings, days: Sequence[str]) -> DataFrame:

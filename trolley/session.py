@@ -30,7 +30,6 @@ def build_session(
         SparkSession.builder.appName(settings.app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE_STORE)
     )

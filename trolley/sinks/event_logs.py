@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trolley.functions.events import event_json
+from trolley import schemas
 
+# Missing fields are written as null, not left out.
+JSON_OPTIONS = {"ignoreNullFields": "false"}
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """The line of each event and its day; events without a day have none."""
-    return events.select(event_json().alias("value"), "event_date")
+
+def log_rows(events: DataFrame) -> DataFrame:
+    """The fields of each event and the day whose log it belongs to."""
+    return events.select(*schemas.EVENT_FIELDS, "event_date")
 
 
 def append_event_log(events: DataFrame, path: str) -> None:
-    log_lines(events).write.mode("append").partitionBy("event_date").text(path)
+    (
+        log_rows(events)
+        .write.mode("append")
+        .options(**JSON_OPTIONS)
+        .partitionBy("event_date")
+        .json(path)
+    )
 
 
 def start_event_log(
@@ -23,10 +31,11 @@ def start_event_log(
 ) -> StreamingQuery:
     """The same for a stream."""
     return (
-        log_lines(events)
+        log_rows(events)
         .writeStream.queryName("event_log")
         .outputMode("append")
-        .format("text")
+        .format("json")
+        .options(**JSON_OPTIONS)
         .partitionBy("event_date")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

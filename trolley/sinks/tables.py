@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,23 +90,29 @@ def publish(staged_rows: DataFrame, root: str, table: ServingTable) -> None:
     )
 
 
+def days_in(rows: DataFrame, column: str) -> list[date]:
+    return [row[0] for row in rows.select(column).distinct().collect()]
+
+
 def upsert(
     rows: DataFrame,
     root: str,
     table: ServingTable,
     now: Column | None = None,
+    days: Sequence[date] | None = None,
     replace_days: bool = False,
 ) -> None:
     """Merge checked rows into the stored days they belong to.
 
-    ``rows`` is read twice, so it should be cheap, such as the result of
-    ``staged``. Only the days in it are read and written back; the list of days
-    is all that reaches the driver. The merged days are staged before the old
-    ones are replaced: if the last step fails, ``publish`` can be run again from
-    the staged folder. ``replace_days`` drops stored rows without a new one.
+    ``rows`` is read more than once, so it should come from a staged result.
+    Only the days in it are read and written back; ``days`` names them if they
+    are known. The list of days is all that reaches the driver. The merged days
+    are staged before the old ones are replaced: if the last step fails,
+    ``publish`` can be run again from the staged folder. ``replace_days`` drops
+    stored rows without a new one.
     """
     spark = rows.sparkSession
-    days = [row[0] for row in rows.select(table.partition).distinct().collect()]
+    days = days_in(rows, table.partition) if days is None else list(days)
     if not days:
         logger.warning("no rows for %s, nothing to store", table.name)
         return
@@ -128,14 +135,18 @@ def upsert(
 
 
 def upsert_all(
-    batches: Mapping[ServingTable, DataFrame], root: str, now: Column | None = None
+    batches: Mapping[ServingTable, DataFrame],
+    root: str,
+    now: Column | None = None,
+    days: Sequence[date] | None = None,
 ) -> None:
     """Upsert into several tables, touching none unless all rows are valid.
 
-    All results are computed and checked before the first table is written. A
-    failure between two writes is repaired by running the job again, as merging
-    the same rows twice gives the same table.
+    The batches come from staged results and are all checked before the first
+    table is written. A failure between two writes is repaired by running the
+    job again, as merging the same rows twice gives the same table.
     """
-    ready = {table: staged(rows, table) for table, rows in batches.items()}
-    for table, rows in ready.items():
-        upsert(rows, root, table, now)
+    for table, rows in batches.items():
+        check(rows, table)
+    for table, rows in batches.items():
+        upsert(conform(rows, table), root, table, now, days)

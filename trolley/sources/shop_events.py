@@ -7,6 +7,8 @@ sign-ups and errors stay as they are, types the reports do not know.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,16 +27,30 @@ EVENT_TABLE = schemas.struct(
 )
 
 
-def from_event_table(table: DataFrame) -> DataFrame:
+# Types that are called otherwise in the table.
+RENAMED = {schemas.ADD_TO_CART: "click"}
+
+
+def from_event_table(
+    table: DataFrame, event_types: Sequence[str] | None = None
+) -> DataFrame:
     """Works on batch and streaming reads of the table alike.
 
-    ``timestamp``, the text form of the time, is only made where it is used.
+    ``event_types`` limits the rows to these types; the filter is on the stored
+    names, so it reaches the scan. ``timestamp``, the text form of the time, is
+    only made where it is used.
     """
-    number = F.get_json_object("props", "$.k").cast("int") + 1
+    if event_types is not None:
+        stored = [RENAMED.get(name, name) for name in event_types]
+        table = table.where(F.col("event_type").isin(stored))
+    # A pattern reads the one number several times faster than a JSON parser.
+    number = F.regexp_extract("props", r'"k"\s*:\s*(-?\d+)', 1).try_cast("int") + 1
     product = F.concat(F.lit("product_"), number.cast("string"))
-    event_type = F.when(
-        F.col("event_type") == "click", F.lit(schemas.ADD_TO_CART)
-    ).otherwise(F.col("event_type"))
+    event_type = F.col("event_type")
+    for name, stored_name in RENAMED.items():
+        event_type = F.when(
+            F.col("event_type") == stored_name, F.lit(name)
+        ).otherwise(event_type)
     time = F.col("ts").cast("timestamp")
     return table.select(
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id"),
@@ -47,9 +63,11 @@ def from_event_table(table: DataFrame) -> DataFrame:
     )
 
 
-def read_shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_shop_events(
+    spark: SparkSession, sf_dir: str, event_types: Sequence[str] | None = None
+) -> DataFrame:
     table = use_utc(spark).read.schema(EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
-    return from_event_table(table)
+    return from_event_table(table, event_types)
 
 
 def stream_shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
