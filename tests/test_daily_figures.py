@@ -1,0 +1,257 @@
+import datetime
+import json
+
+from pyspark.sql import functions as F
+
+from trolley.operators import categories, products, summaries, traffic, users
+
+DAY = datetime.date(2024, 1, 1)
+
+
+def rows(df, *columns):
+    return [tuple(row) for row in df.select(*columns).collect()]
+
+
+def summary_of(events, generated_at="2024-01-02T02:00:00"):
+    return summaries.summary_rows(
+        users.user_activity(events),
+        products.product_views(events),
+        categories.category_conversion(events),
+        F.lit(generated_at),
+    )
+
+
+def test_segments_of_the_sample(sample):
+    segments = users.user_segments(users.user_activity(sample))
+    assert sorted(rows(segments, "report_date", "user_id", "segment")) == [
+        (DAY, "user_1", "buyer"),
+        (DAY, "user_2", "window_shopper"),
+        (DAY, "user_3", "window_shopper"),
+    ]
+
+
+def test_other_figures_of_the_sample(sample):
+    top = products.top_viewed_products(products.product_views(sample))
+    assert sorted(rows(top, "rank", "product_id", "view_count")) == [
+        (1, "product_1", 2),
+        (2, "product_2", 1),
+        (3, "product_3", 1),
+    ]
+    conversion = categories.category_conversion(sample)
+    assert rows(conversion, "category", "views", "purchases", "conversion_rate") == [
+        ("unknown", 4, 1, 25.0)
+    ]
+    figures = summaries.daily_summary(users.user_activity(sample)).first()
+    assert (figures.total_events, figures.buyer_count) == (6, 1)
+    assert (figures.window_shopper_count, str(figures.buyer_rate)) == (2, "33.33")
+
+
+def test_only_valid_users_have_a_segment(make_events):
+    time = "2024-01-01T10:00:00"
+    events = make_events(
+        (None, "p", "c", "purchase", time),
+        ("", "p", "c", "purchase", time),
+        ("no_type", "p", "c", None, time),
+        ("empty_type", "p", "c", "", time),
+        ("odd_type", "p", "c", "stare", time),
+        ("mixed", "p", "c", None, time),
+        ("mixed", "p", "c", "purchase", time),
+    )
+    activity = users.user_activity(events)
+    found = dict(rows(users.user_segments(activity), "user_id", "segment"))
+    assert found == {"odd_type": "window_shopper", "mixed": "buyer"}
+    figures = summaries.daily_summary(activity).first()
+    assert (figures.total_events, figures.buyer_count) == (7, 1)
+    assert str(figures.buyer_rate) == "50.00"
+
+
+def test_a_day_without_valid_user_has_rate_zero(make_events):
+    events = make_events((None, "p", "c", "view", "2024-01-01T10:00:00"))
+    figures = summaries.daily_summary(users.user_activity(events)).first()
+    assert (figures.total_events, figures.buyer_count) == (1, 0)
+    assert str(figures.buyer_rate) == "0.00"
+
+
+def test_segments_equal_a_semi_and_an_anti_join(make_events):
+    events = make_events(
+        *[
+            (f"u{i % 7}", "p", "c", "purchase" if i % 11 == 0 else "view", f"2024-01-0{1 + i % 3}T10:00:00")
+            for i in range(60)
+        ]
+    )
+    everyone = events.select(F.col("event_date").alias("report_date"), "user_id").distinct()
+    bought = (
+        events.where("event_type = 'purchase'")
+        .select(F.col("event_date").alias("report_date"), "user_id")
+        .distinct()
+    )
+    key = ["report_date", "user_id"]
+    joined = users.segment_rows(
+        everyone.join(bought, key, "left_semi"), everyone.join(bought, key, "left_anti")
+    )
+    segments = users.user_segments(users.user_activity(events))
+    columns = (*key, "segment")
+    assert sorted(rows(joined, *columns)) == sorted(rows(segments, *columns))
+
+
+def test_samples_are_the_first_ten_in_order_of_appearance(make_events):
+    events = make_events(
+        *[
+            (f"u{(i * 7) % 25:02d}", "p", "c", "view", f"2024-01-01T10:{i:02d}:00")
+            for i in range(25)
+        ],
+        ("undated", "p", "c", "view", "?"),
+        day="2024-01-01",
+    )
+    segments = users.user_segments(users.user_activity(events))
+    (sample_row,) = users.segment_samples(segments).collect()
+    assert sample_row.user_ids == [f"u{(i * 7) % 25:02d}" for i in range(10)]
+    everyone = users.segment_samples(segments, 100).first().user_ids
+    assert len(everyone) == 26 and everyone[-1] == "undated"
+
+
+def test_equal_counts_rank_by_first_view_then_by_id(make_events):
+    events = make_events(
+        ("u", "late", "c", "view", "2024-01-01T12:00:00"),
+        ("u", "b", "c", "view", "2024-01-01T11:00:00"),
+        ("u", "a", "c", "view", "2024-01-01T11:00:00"),
+        ("u", "early", "c", "purchase", "2024-01-01T09:00:00"),
+        ("u", "early", "c", "view", "2024-01-01T13:00:00"),
+        ("u", "most", "c", "view", "2024-01-01T14:00:00"),
+        ("u", "most", "c", "view", "2024-01-01T15:00:00"),
+        ("u", "", "c", "view", "2024-01-01T08:00:00"),
+        ("u", None, "c", "view", "2024-01-01T08:00:00"),
+    )
+    views = products.product_views(events)
+    expected = ["most", "a", "b", "late", "early"]
+    for n in (5, None):
+        ranked = products.top_viewed_products(views, n).orderBy("rank")
+        assert rows(ranked, "product_id", "rank") == [
+            (name, i) for i, name in enumerate(expected, 1)
+        ]
+    two = products.top_viewed_products(views, 2).orderBy("rank")
+    assert rows(two, "product_id") == [("most",), ("a",)]
+
+
+def test_conversion_of_unusual_categories(make_events):
+    time = "2024-01-01T10:00:00"
+    events = make_events(
+        ("u", "p", "never viewed", "purchase", time),
+        ("u", "p", "often bought", "view", time),
+        *[("u", "p", "often bought", "purchase", time)] * 3,
+        ("u", "p", "only carts", "add_to_cart", time),
+        ("u", "p", None, "view", time),
+    )
+    found = categories.category_conversion(events)
+    assert sorted(rows(found, "category", "views", "purchases", "conversion_rate")) == [
+        ("never viewed", 0, 1, 0.0),
+        ("often bought", 1, 3, 300.0),
+        ("unknown", 1, 0, 0.0),
+    ]
+
+
+def test_equal_rates_are_ordered_by_appearance(make_events):
+    events = make_events(
+        ("u", "p", "a", "view", "2024-01-01T12:00:00"),
+        ("u", "p", "b", "view", "2024-01-01T11:00:00"),
+        ("u", "p", "c", "view", "2024-01-01T13:00:00"),
+        ("u", "p", "c", "purchase", "2024-01-01T14:00:00"),
+    )
+    ranked = categories.category_conversion_ranked(categories.category_conversion(events))
+    assert rows(ranked, "category") == [("c",), ("b",), ("a",)]
+    (summary,) = summary_of(events).collect()
+    assert [entry.category for entry in summary.categories] == ["c", "b", "a"]
+
+
+def test_document_of_the_sample(sample):
+    (row,) = summaries.summary_json(summary_of(sample)).collect()
+    document = json.loads(row.document)
+    assert document == {
+        "date": "2024-01-01",
+        "total_events": 6,
+        "window_shoppers": {"count": 2, "user_ids": ["user_2", "user_3"]},
+        "buyers": {"count": 1, "user_ids": ["user_1"]},
+        "top_5_viewed_products": [
+            {"product_id": "product_1", "views": 2},
+            {"product_id": "product_2", "views": 1},
+            {"product_id": "product_3", "views": 1},
+        ],
+        "conversion_rates_by_category": {
+            "unknown": {"views": 4, "purchases": 1, "conversion_rate": 25.0}
+        },
+        "generated_at": "2024-01-02T02:00:00",
+    }
+    (pretty,) = summaries.summary_json(summary_of(sample), pretty=True).collect()
+    assert json.loads(pretty.document) == document and "\n" in pretty.document
+
+
+def test_report_of_the_sample(sample):
+    summary = summary_of(sample)
+    report = summaries.report_for(summary, "2024-01-01").first().report
+    assert report.splitlines() == [
+        "Daily E-commerce Summary - 2024-01-01",
+        "=" * 60,
+        "",
+        "Total Events: 6",
+        "",
+        "USER SEGMENTATION",
+        "-" * 40,
+        "- Buyers: 1",
+        "- Window Shoppers: 2",
+        "",
+        "TOP 5 VIEWED PRODUCTS",
+        "-" * 40,
+        "1. product_1 - 2 views",
+        "2. product_2 - 1 views",
+        "3. product_3 - 1 views",
+        "",
+        "CONVERSION RATES BY PRODUCT CATEGORY",
+        "-" * 40,
+        "Category             Views  Purchases       Rate",
+        "-" * 45,
+        "unknown                  4          1     25.00%",
+        "",
+        "=" * 60,
+        "Report generated at: 2024-01-02T02:00:00",
+    ]
+    missing = summaries.report_for(summary, "2024-01-02").first().report
+    assert missing == "No data available for summary."
+
+
+def test_a_day_without_views_has_empty_lists(make_events):
+    events = make_events(("u", "p", "c", "add_to_cart", "2024-01-01T10:00:00"))
+    (row,) = summary_of(events).collect()
+    assert (row.top_products, row.categories, row.buyers.user_ids) == ([], [], [])
+    (document,) = summaries.summary_json(summary_of(events)).collect()
+    assert json.loads(document.document)["conversion_rates_by_category"] == {}
+
+
+def test_nothing_comes_from_nothing(make_events, sample):
+    none = sample.limit(0)
+    assert summary_of(none).count() == 0
+    assert users.segment_samples(users.user_segments(users.user_activity(none))).count() == 0
+    assert traffic.event_type_distribution(none).count() == 0
+
+
+def test_mix_of_types(sample):
+    found = traffic.event_type_distribution(sample)
+    assert sorted(rows(found, "event_type", "events", "share_percent")) == [
+        ("add_to_cart", 1, 16.7),
+        ("purchase", 1, 16.7),
+        ("view", 4, 66.7),
+    ]
+
+
+def test_progress_over_a_day(make_events):
+    events = make_events(
+        ("u", "p", "c", "view", "2024-01-01T10:00:00"),
+        ("u", "p", "c", "view", "2024-01-01T11:00:00"),
+        ("u", "p", "c", "purchase", "2024-01-01T11:40:00"),
+        ("u", "p", "c", "add_to_cart", "2024-01-02T11:00:00"),
+    )
+    found = traffic.event_throughput(events).orderBy("interval_start")
+    assert rows(found, "events", "views", "carts", "purchases", "events_per_second") == [
+        (1, 1, 0, 0, 0.0),
+        (3, 2, 0, 1, 3 / 6000),
+        (1, 0, 1, 0, 0.0),
+    ]

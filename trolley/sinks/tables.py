@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,18 +26,31 @@ class ConstraintViolation(ValueError):
     """Rows that break a rule of their table; nothing was stored."""
 
 
+def together(step: Callable[[ServingTable], None], tables: Iterable[ServingTable]) -> None:
+    """Run the jobs of several tables at once; the first error is raised.
+
+    The tables are independent and most are short, so one after the other they
+    would leave the cluster idle.
+    """
+    with ThreadPoolExecutor(max_workers=len(schemas.SERVING_TABLES)) as pool:
+        list(pool.map(step, tables))
+
+
 def create_tables(
     spark: SparkSession,
     root: str,
     tables: Sequence[ServingTable] = schemas.SERVING_TABLES,
 ) -> None:
     """Make the folders that do not exist yet."""
-    for table in tables:
+
+    def create(table: ServingTable) -> None:
         empty = spark.createDataFrame([], table.columns)
         empty.write.mode("ignore").partitionBy(table.partition).parquet(
             table_path(root, table)
         )
 
+    together(create, tables)
+
 
 def register_tables(
     spark: SparkSession,
@@ -146,7 +160,8 @@ def upsert_all(
     table is written. A failure between two writes is repaired by running the
     job again, as merging the same rows twice gives the same table.
     """
-    for table, rows in batches.items():
-        check(rows, table)
-    for table, rows in batches.items():
-        upsert(conform(rows, table), root, table, now, days)
+    together(lambda table: check(batches[table], table), batches)
+    together(
+        lambda table: upsert(conform(batches[table], table), root, table, now, days),
+        batches,
+    )
