@@ -15,12 +15,18 @@ from trolley.streaming import pipeline, queries
 
 
 def start(
-    spark: SparkSession, messages: DataFrame, settings: Settings
+    spark: SparkSession,
+    messages: DataFrame,
+    settings: Settings,
+    checkpoints: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start all configured queries over one message stream."""
+    """Start all configured queries over one message stream.
+
+    Their checkpoints lie in ``checkpoints``, by default the shared folder.
+    """
     events = pipeline.events_of(messages)
     alerts = pipeline.alerts(events, settings)
-    folder = shared_folder(spark)
+    folder = checkpoints or shared_folder(spark)
 
     def checkpoint(name: str) -> str | None:
         return f"{folder.rstrip('/')}/{name}" if folder else None
