@@ -347,7 +347,7 @@ FROM segments s LEFT JOIN (SELECT DISTINCT day, user_id FROM early) o
     "constraint_violations_rates": with_(conversion())
     + _broken(
         "conversion_rate is out of range",
-        "views * purchases * 10 >= 1000",
+        "views * purchases * 500 >= 1000",
         "conversion",
         "category",
     ),

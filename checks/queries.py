@@ -428,7 +428,7 @@ def constraint_violations_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category rows with a rate that may exceed its column."""
     events = read_shop_events(spark, sf_dir, VIEWS_AND_PURCHASES)
     conversion = categories.category_conversion(events)
-    product = F.col("views") * F.col("purchases") * 10
+    product = F.col("views") * F.col("purchases") * 500
     rows = conversion.withColumn("conversion_rate", product.cast("double"))
     return plain(constraints.constraint_violations(rows, schemas.CATEGORY_CONVERSION))
 

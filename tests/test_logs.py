@@ -113,12 +113,34 @@ def test_the_daily_job(spark, logs, tmp_path):
         output_path=str(tmp_path / "out"),
         tables_path=str(tmp_path / "tables"),
     )
-    (row,) = daily.run(spark, settings, ["2024-01-05"]).collect()
+    days = ["2024-01-05"]
+    (row,) = daily.run(daily.read_logs(spark, settings, days), settings).collect()
     assert row.total_events == 3 and row.window_shoppers["count"] == 3
-    (written,) = spark.read.option("wholetext", True).text(str(tmp_path / "out" / "summaries")).collect()
+    (written,) = spark.read.text(
+        str(tmp_path / "out" / "summaries"), wholetext=True
+    ).collect()
     assert json.loads(written.value)["total_events"] == 3
     reports = spark.read.text(str(tmp_path / "out" / "reports"))
     assert reports.where("value = 'Total Events: 3'").count() == 1
-    assert daily.run(spark, settings, ["2020-01-01"]).count() == 0
+    nothing = daily.read_logs(spark, settings, ["2020-01-01"])
+    assert daily.run(nothing, settings).count() == 0
     # A day without events leaves what is stored alone.
     assert spark.read.parquet(str(tmp_path / "tables" / "daily_summary")).count() == 1
+
+
+def test_the_daily_job_over_folders(spark, sample, tmp_path):
+    settings = Settings(raw_logs_path=str(tmp_path / "log"))
+    append_event_log(sample, settings.raw_logs_path)
+    for day, days in (("2024-01-01", 1), ("2024-01-02", 0)):
+        logs = daily.read_logs(spark, settings, [day], by_folder=True)
+        assert daily.run(logs, settings).count() == days
+    plan = logs._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(cast" in plan, plan
+
+
+def test_the_command_prints_the_report(spark, logs, monkeypatch, capsys):
+    monkeypatch.setenv("RAW_LOGS_PATH", logs)
+    daily.main(["--date", "2024-01-06"])
+    assert "Total Events: 1" in capsys.readouterr().out
+    daily.main(["--date", "2020-01-01"])
+    assert "No data available for summary." in capsys.readouterr().out

@@ -26,7 +26,7 @@ from trolley.session import build_session, stage
 from trolley.settings import Settings
 from trolley.sinks.documents import write_reports, write_summaries
 from trolley.sinks.tables import create_tables, days_in, upsert_all
-from trolley.sources.event_logs import read_daily_logs, report_day
+from trolley.sources.event_logs import read_daily_logs, read_event_log, report_day
 
 
 def daily_results(
@@ -67,14 +67,24 @@ def store(
     upsert_all(batches, root, now, days_in(summaries, "report_date"))
 
 
-def run(spark: SparkSession, settings: Settings, days: Sequence[str]) -> DataFrame:
-    """Process the logs of these days; returns their summaries.
+def read_logs(
+    spark: SparkSession, settings: Settings, days: Sequence[str], by_folder: bool = False
+) -> DataFrame:
+    """Events of these days from daily files, or from folders a stream has filled."""
+    root = settings.require("raw_logs_path")
+    if by_folder:
+        wanted = [F.lit(day).cast("date") for day in days]
+        return read_event_log(spark, root).where(F.col("event_date").isin(wanted))
+    return read_daily_logs(spark, root, days)
+
+
+def run(logs: DataFrame, settings: Settings) -> DataFrame:
+    """Summarize these events, write what is configured, return the summaries.
 
     Without events there is nothing to store and the result is empty. The logs
     are text, so they are parsed once into columns and then read with only the
     columns each figure needs.
     """
-    logs = read_daily_logs(spark, settings.require("raw_logs_path"), days)
     columns = ("user_id", "product_id", "product_category", "event_type")
     events = stage(logs.select(*columns, "event_timestamp", "event_date"), "events")
     summaries, segments = daily_results(events)
@@ -89,11 +99,17 @@ def run(spark: SparkSession, settings: Settings, days: Sequence[str]) -> DataFra
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--date", help="day to process (default: yesterday)")
-    day = report_day(parser.parse_args(arguments).date)
+    parser.add_argument(
+        "--by-folder",
+        action="store_true",
+        help="the logs are folders event_date=<day>, not daily files",
+    )
+    options = parser.parse_args(arguments)
+    day = report_day(options.date)
     settings = Settings.from_env()
     spark = build_session(settings)
-    summaries = run(spark, settings, [day])
-    print(report_for(summaries, day).select(F.col("report")).first()[0])
+    summaries = run(read_logs(spark, settings, [day], options.by_folder), settings)
+    print(report_for(summaries, day).select("report").first()[0])
 
 
 if __name__ == "__main__":
