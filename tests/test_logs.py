@@ -101,6 +101,8 @@ def test_topic_options():
         "subscribe": "shop",
         "startingOffsets": "latest",
     }
+    bounded = Settings.from_env({"KAFKA_MAX_OFFSETS_PER_TRIGGER": "1000"})
+    assert kafka.source_options(bounded)["maxOffsetsPerTrigger"] == "1000"
     assert kafka_sink.sink_options(settings) == {
         "kafka.bootstrap.servers": "broker:1",
         "topic": "shop",

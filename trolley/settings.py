@@ -34,6 +34,7 @@ class Settings:
     kafka_servers: str = "localhost:9092"
     kafka_topic: str = "clickstream-events"
     starting_offsets: str = "latest"
+    max_offsets_per_trigger: int = 0
     window: str = "10 minutes"
     slide: str = "5 minutes"
     watermark: str | None = "10 minutes"
@@ -60,6 +61,9 @@ class Settings:
             kafka_servers=env.get("KAFKA_BOOTSTRAP_SERVERS", cls.kafka_servers),
             kafka_topic=env.get("KAFKA_TOPIC", cls.kafka_topic),
             starting_offsets=env.get("KAFKA_STARTING_OFFSETS", cls.starting_offsets),
+            max_offsets_per_trigger=_whole_number(
+                env, "KAFKA_MAX_OFFSETS_PER_TRIGGER", cls.max_offsets_per_trigger
+            ),
             window=env.get("WINDOW_DURATION", cls.window),
             slide=env.get("SLIDE_DURATION", cls.slide),
             # An empty value switches the watermark of the alerts off.
