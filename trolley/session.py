@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,24 +62,38 @@ def shared_folder(spark: SparkSession) -> str | None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder.
 
-    Only where the session names no such folder (unit tests on one machine) is
-    a temporary one made, and then kept for the session.
+    Only where the session names no such folder and runs on one machine, as in
+    unit tests, is a temporary one made, and then kept for the session.
     """
     folder = shared_folder(spark) or spark.conf.get(LOCAL_SCRATCH, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         folder = tempfile.mkdtemp(prefix="trolley-")
         spark.conf.set(LOCAL_SCRATCH, folder)
     return f"{folder.rstrip('/')}/trolley/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+@contextmanager
+def passing_scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch path that is removed after the block, unless that failed."""
+    path = scratch_path(spark, name)
+    yield path
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back, its schema passed on."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several results need the same large intermediate rows: they are
     computed once, survive the loss of executors, and are read with pruned
-    columns. The schema is passed on, so nothing is inferred.
+    columns. The folder stays, as the caller may pass the result on.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, scratch_path(df.sparkSession, name))

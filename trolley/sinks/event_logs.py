@@ -16,10 +16,18 @@ def log_rows(events: DataFrame) -> DataFrame:
     return events.select(*schemas.EVENT_FIELDS, "event_date")
 
 
-def append_event_log(events: DataFrame, path: str) -> None:
+def append_event_log(events: DataFrame, path: str, by_time: bool = False) -> None:
+    """Add events to the logs of their days.
+
+    The rows of a day are brought together first, large days over several
+    tasks; else each task would write a file for each day it has seen. That
+    shuffle is left out for input that is ordered ``by_time`` already.
+    """
+    rows = log_rows(events)
+    if not by_time:
+        rows = rows.hint("rebalance", "event_date")
     (
-        log_rows(events)
-        .write.mode("append")
+        rows.write.mode("append")
         .options(**JSON_OPTIONS)
         .partitionBy("event_date")
         .json(path)

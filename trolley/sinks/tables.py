@@ -14,7 +14,7 @@ from trolley import schemas
 from trolley.operators.constraints import conform, constraint_violations
 from trolley.operators.merge import merge_upsert
 from trolley.schemas import ServingTable
-from trolley.session import stage
+from trolley.session import passing_scratch, stage, written
 from trolley.sources.serving import read_table, table_path
 
 logger = logging.getLogger(__name__)
@@ -121,9 +121,9 @@ def upsert(
     ``rows`` is read more than once, so it should come from a staged result.
     Only the days in it are read and written back; ``days`` names them if they
     are known. The list of days is all that reaches the driver. The merged days
-    are staged before the old ones are replaced: if the last step fails,
-    ``publish`` can be run again from the staged folder. ``replace_days`` drops
-    stored rows without a new one.
+    are staged before the old ones are replaced: if the last step fails, the
+    staged folder is kept and ``publish`` can be run again from it.
+    ``replace_days`` drops stored rows without a new one.
     """
     spark = rows.sparkSession
     days = days_in(rows, table.partition) if days is None else list(days)
@@ -136,16 +136,15 @@ def upsert(
         key = list(table.key)
         touched = touched.join(rows.select(*key), key, "left_semi")
     merged = merge_upsert(touched, rows, table.key, table.updated, table.stamp, now)
-    kept = stage(merged, f"{table.name}-merged")
-    try:
-        publish(kept, root, table)
-    except Exception:
-        logger.error(
-            "%s: days may be incomplete, publish again from %s",
-            table.name,
-            kept.inputFiles()[:1],
-        )
-        raise
+    with passing_scratch(spark, f"{table.name}-merged") as path:
+        kept = written(merged, path)
+        try:
+            publish(kept, root, table)
+        except Exception:
+            logger.error(
+                "%s: days may be incomplete, publish again from %s", table.name, path
+            )
+            raise
 
 
 def upsert_all(

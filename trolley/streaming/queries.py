@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trolley.operators.constraints import conform, keeps_rules
 from trolley.schemas import FLASH_SALE_ALERTS
-from trolley.session import stage
+from trolley.session import passing_scratch, written
 from trolley.settings import Settings
 from trolley.sinks.tables import create_tables, upsert
 
@@ -54,18 +54,19 @@ def store_alerts(alerts: DataFrame, root: str) -> None:
     """Merge alerts into their table; ``detected_at`` stays that of the first.
 
     The stream knows events without product, the table takes none. Such rows
-    must not stop the stream: they are kept next to the table.
+    must not stop the stream: they are kept next to the table, once per attempt.
     """
-    rows = stage(
-        alerts.withColumn("window_date", F.to_date("window_start")), "alerts"
-    )
+    dated = alerts.withColumn("window_date", F.to_date("window_start"))
     valid = keeps_rules(FLASH_SALE_ALERTS)
-    rejected = rows.where(~valid)
-    if not rejected.isEmpty():
-        rejected.write.mode("append").parquet(
-            f"{root.rstrip('/')}/{FLASH_SALE_ALERTS.name}_rejected"
-        )
-    upsert(conform(rows.where(valid), FLASH_SALE_ALERTS), root, FLASH_SALE_ALERTS)
+    with passing_scratch(alerts.sparkSession, "alerts") as path:
+        rows = written(dated, path)
+        rejected = rows.where(~valid)
+        if not rejected.isEmpty():
+            rejected.write.mode("append").parquet(
+                f"{root.rstrip('/')}/{FLASH_SALE_ALERTS.name}_rejected"
+            )
+        stored = conform(rows.where(valid), FLASH_SALE_ALERTS)
+        upsert(stored, root, FLASH_SALE_ALERTS)
 
 
 def start_alert_table(
