@@ -1,11 +1,16 @@
 """What the plans of the queries must and must not contain."""
 
+import datetime
 import re
 
 import pytest
 
 from checks.queries import REGISTERED
 from conftest import TESTDATA
+from trolley.operators.merge import merge_upsert
+from trolley.schemas import PRODUCT_PERFORMANCE
+from trolley.sinks.tables import create_tables, staged, upsert
+from trolley.sources.serving import read_table
 
 SF = str(TESTDATA / "sf0.001")
 # These run jobs while they are built; the others only describe a result.
@@ -71,3 +76,22 @@ def test_number_of_shuffles(spark, name, shuffles):
 def test_ranks_are_cut_before_the_shuffle(spark, name):
     plan = plan_of(spark, name)
     assert len(re.findall(r"^\(\d+\) WindowGroupLimit", plan, re.M)) == 2
+
+
+def test_a_merge_shuffles_each_side_once(spark, tmp_path):
+    table = PRODUCT_PERFORMANCE
+    create_tables(spark, str(tmp_path), [table])
+    first = spark.createDataFrame(
+        [(datetime.date(2024, 1, day), "p", 1, 1) for day in (1, 2, 3)],
+        "report_date date, product_id string, view_count bigint, rank int",
+    )
+    upsert(staged(first, table), str(tmp_path), table)
+    stored = read_table(spark, str(tmp_path), table)
+    first_days = stored.where("report_date IN (DATE'2024-01-01', DATE'2024-01-02')")
+    rows = stored.drop("created_at")
+    merged = merge_upsert(first_days, rows, table.key, table.updated, table.stamp)
+    plan = merged._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 2
+    assert "PartitionFilters: [report_date" in plan and " IN (2024-01-01,2024-01-02)" in plan
