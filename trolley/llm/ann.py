@@ -26,15 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.shared import written
 
 TABLES = 8
-HASHES = 4
-WIDTH = 0.9
-PROBES = 64
+HASHES = 3
+WIDTH = 0.8
+PROBES = 20
 BLOCK = 4096
 _SEED = 11
 
@@ -147,8 +147,8 @@ def usable(vector: Column) -> Column:
 
 
 def usable_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, x) of the rows that take part, components in double precision."""
-    x = F.col("embedding").cast("array<double>")
+    """(vec_id, x) of the rows that take part, components as they are stored."""
+    x = F.col("embedding")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), x.alias("x")).where(
         F.col("vec_id").isNotNull() & F.col("x").isNotNull() & usable(F.col("x"))
     )
@@ -194,7 +194,10 @@ def nearest(
     spark = vectors.sparkSession
     schema = "query_id bigint, vec_id bigint, score double"
     rows = written(usable_vectors(vectors), "vectors")
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v))
+    kind = rows.schema["x"].dataType.simpleString()
+    norm = F.sqrt(
+        F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
+    )
     known = rows.agg(F.max(norm).alias("norm"), F.first(F.size("x")).alias("size")).first()
     hashing = Hashing.make(known["size"] or 1, known["norm"] or 1.0, tables, hashes, width)
     held = spark.sparkContext.broadcast(hashing)
@@ -230,65 +233,49 @@ def nearest(
                 x = part["x"].tolist()
                 yield out.assign(x=[x[i] for i in out["q"]])[["bucket", "query_id", "x"]]
 
-    index = rows.mapInPandas(stored, "bucket bigint, vec_id bigint, x array<double>")
+    index = rows.mapInPandas(stored, f"bucket bigint, vec_id bigint, x {kind}")
+    index = written(index, "vector-index")
     # Blocks of a bucket: as many as its rows need, rows dealt by their ids.
-    sizes = index.groupBy("bucket").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
+    sizes = written(
+        index.groupBy("bucket").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
+        ),
+        "bucket-sizes",
     )
-    index = index.join(sizes, "bucket").withColumn(
-        "block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
+    index = index.join(sizes, "bucket").select(
+        "bucket", F.expr("cast(pmod(xxhash64(vec_id), blocks) AS int) AS block"), "vec_id", "x"
     )
     visits = (
         rows.where(is_query)
-        .mapInPandas(probing, "bucket bigint, query_id bigint, x array<double>")
-        .join(sizes, "bucket")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .mapInPandas(probing, f"bucket bigint, query_id bigint, x {kind}")
+        .join(sizes.select("bucket", "blocks"), "bucket")
+        .selectExpr("bucket", "explode(sequence(0, blocks - 1)) AS block", "query_id", "x")
     )
 
-    def compare(
-        key: tuple, asked: Iterator[pd.DataFrame], block: Iterator[pd.DataFrame]
-    ) -> Iterator[pd.DataFrame]:
-        here = pd.concat([frame[["vec_id", "x"]] for frame in block] or [pd.DataFrame()])
-        if not len(here):
-            return
-        ids, x = here["vec_id"].to_numpy(), _matrix(here["x"])
-        for frame in asked:
-            hits = list(
-                _best(_matrix(frame["x"]), frame["query_id"].to_numpy(), ids, x, most)
-            )
-            yield pd.DataFrame(
-                {
-                    "query_id": np.repeat([n for n, _, _ in hits], [len(i) for _, i, _ in hits]),
-                    "vec_id": np.concatenate([i for _, i, _ in hits] or [[]]),
-                    "score": np.concatenate([s for _, _, s in hits] or [[]]),
-                }
-            ).astype({"query_id": "int64", "vec_id": "int64", "score": float})
+    def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        hits = []
+        if len(asked) and len(block):
+            queries, own = _matrix(asked["x"]), asked["query_id"].to_numpy()
+            hits = list(_best(queries, own, block["vec_id"].to_numpy(), _matrix(block["x"]), most))
+        sizes = [len(ids) for _, ids, _ in hits]
+        return pd.DataFrame(
+            {
+                "query_id": np.repeat(np.array([n for n, _, _ in hits], np.int64), sizes),
+                "vec_id": np.concatenate([np.zeros(0, np.int64), *[i for _, i, _ in hits]]),
+                "score": np.concatenate([np.zeros(0), *[s for _, _, s in hits]]),
+            }
+        )
 
     found = (
         visits.groupBy("bucket", "block")
         .cogroup(index.groupBy("bucket", "block"))
-        .applyInPandas(_whole(compare), schema)
+        .applyInPandas(compare, schema)
     )
     return _ranked(found, most)
 
 
-def _whole(compare):
-    """``compare`` for groups that come as one frame each."""
-
-    def run(key: tuple, asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        parts = [*compare(key, [asked] if len(asked) else [], [block])]
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return pd.concat(parts) if parts else empty.astype(
-            {"query_id": "int64", "vec_id": "int64", "score": float}
-        )
-
-    return run
-
-
 def _ranked(found: DataFrame, most: int) -> DataFrame:
     """Each partial task's best are merged with a window over the distinct candidates."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.groupBy("query_id", "vec_id")
