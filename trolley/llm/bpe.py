@@ -40,7 +40,7 @@ FREQUENT_WORDS = 1 << 17
 #: Distinct words that a task counts at once.
 COUNTED = 500_000
 _NONE = 1 << 30
-PART_CHARS = 8 << 20
+PART_CHARS = 4 << 20
 #: The one Latin letter here that has two in lower case.
 _DOTTED = "\u0130"
 #: Below this letter, lower case and letters are plain ranges.
