@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: A slice of a batch holds about so many characters, however long single texts are.
 SLICE_CHARS = 4 << 20
+#: Names the folder made for a session without spark.checkpoint.dir.
+OWN_FOLDER = "trolley.llm.folder"
 
 
 def fold(doc_id: Column, folds: int) -> Column:
@@ -32,12 +34,12 @@ def work_path(spark: SparkSession, name: str) -> str:
 
     Only where none is named and Spark runs in one process is a folder made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_FOLDER, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         folder = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.conf.set(OWN_FOLDER, folder)
     return f"{folder.rstrip('/')}/corpus/{name}-{uuid.uuid4().hex}"
 
 
