@@ -1,0 +1,68 @@
+import math
+import random
+
+import numpy as np
+
+from support import make_docs, make_table  # noqa: F401
+
+from trolley.llm import quality
+
+
+def texts(seed, good):
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(60)]
+    if not good:
+        words = [rng.choice([w + "***", w.upper() + "!!", w]) for w in words]
+    return " ".join(words) + "."
+
+
+def test_scores_of_known_and_unknown_documents(spark, make_docs, make_table):
+    rows = [(i, texts(i, i % 2 == 0)) for i in range(120)]
+    docs = make_docs(*rows)
+    labels = make_table("doc_id bigint, label int", *[(i, 1 - i % 2) for i in range(80)])
+    model = quality.fit(quality.document_statistics(docs), labels)
+    scored = quality.with_quality(docs, model, "score")
+    assert scored.columns == [*docs.columns, "score"]
+    found = {row.doc_id: row.score for row in scored.collect()}
+    assert all((found[i] > 0.5) == (i % 2 == 0) for i in range(80, 120))
+    again = quality.scored(quality.document_statistics(docs), model)
+    assert {row.doc_id: row.score for row in again.collect()} == found
+
+
+def test_scores_equal_the_log_densities():
+    rng = np.random.default_rng(3)
+    size = quality.SIZE
+    x = [rng.normal(c, 1 + c, (200, size)) for c in (0, 1)]
+    total = np.stack(
+        [np.concatenate([[len(a)], a.sum(0), (a.T @ a).ravel()]) for a in x]
+    )
+    model = quality.discriminant(total, 0.2, 0.1)
+    covs = [np.cov(a.T, bias=True) for a in x]
+    pooled = (covs[0] + covs[1]) / 2
+    point = rng.normal(0.5, 1, size)
+    logs = []
+    for c in (0, 1):
+        cov = 0.8 * covs[c] + 0.2 * pooled
+        cov = 0.9 * cov + 0.1 * np.trace(cov) / size * np.eye(size)
+        d = point - x[c].mean(0)
+        logs.append(-0.5 * (d @ np.linalg.solve(cov, d) + np.linalg.slogdet(cov)[1]))
+    expected = 1 / (1 + math.exp(logs[0] - logs[1]))
+    assert math.isclose(model.score(point[None])[0], expected, rel_tol=1e-8)
+
+
+def test_odd_texts_and_tables(spark, make_docs, make_table):
+    rows = [(i, texts(i, i % 2 == 0)) for i in range(20)]
+    odd = [(90, None), (91, ""), (92, "x " * 200_000), (93, "\n\n"), (None, "a b"), (3, "twice")]
+    labels = make_table("doc_id bigint, label int", *[(i, 1 - i % 2) for i in range(20)], (None, 1), (5, None))
+    docs = make_docs(*rows, *odd)
+    model = quality.fit(quality.document_statistics(docs), labels)
+    found = quality.with_quality(docs, model, "score").collect()
+    assert len(found) == len(rows) + len(odd)
+    assert all(0 <= row.score <= 1 for row in found)
+    by_text = {row.text: row.score for row in found}
+    assert by_text[None] == by_text[""]
+    none = docs.limit(0)
+    assert quality.with_quality(none, model, "score").count() == 0
+    assert quality.fit(quality.document_statistics(none), labels).score(np.zeros((1, quality.SIZE)))[0] == 0.5
+    one_class = quality.fit(quality.document_statistics(docs), labels.where("label = 1"))
+    assert set(one_class.score(np.zeros((2, quality.SIZE)))) == {1.0}

@@ -37,12 +37,15 @@ KINDS = ("assign", "access", "hex", "random")
 #: Maximal runs of these characters are tokens; shorter ones say too little.
 CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN, FEWEST_TOKEN = "[A-Za-z0-9+/_=-]{20,}", 20
-#: Ordinary samples: words and identifiers of so many characters.
-ORDINARY = "[A-Za-z0-9+/_=-]{4,}"
+#: Ordinary samples: words and identifiers that are too short to be judged, so that what
+#: is judged is not learned from.
+ORDINARY = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"
 #: At most about so many documents are looked at for samples of each label.
 SECRET_DOCUMENTS, ORDINARY_DOCUMENTS = 20_000, 2_000
 #: Natural log units per character by which a token has to look more random.
 THRESHOLD = 0.5
+#: Pairs that the frequency of the second character counts for.
+SMOOTHING = 20.0
 _SIZE = len(CHARACTERS) + 1
 _SPANS = "array<struct<kind:string,first:int,last:int,value:string>>"
 
@@ -145,16 +148,25 @@ def fit(samples: DataFrame) -> list[float]:
     counts = {True: [0.0] * _SIZE**2, False: [0.0] * _SIZE**2}
     for row in counted.collect():
         counts[row.secret][row.pair] = float(row["count"])
-    out = [0.0] * _SIZE**2
-    for a in range(_SIZE):
-        row = slice(a * _SIZE, (a + 1) * _SIZE)
-        totals = {label: sum(counts[label][row]) for label in counts}
-        for b in range(_SIZE):
-            logs = [
-                math.log((counts[label][a * _SIZE + b] + 0.5) / (totals[label] + 0.5 * _SIZE))
-                for label in (True, False)
-            ]
-            out[a * _SIZE + b] = logs[0] - logs[1]
+    secret, ordinary = (_log_chances(counts[label]) for label in (True, False))
+    return [a - b for a, b in zip(secret, ordinary)]
+
+
+def _log_chances(counts: list[float]) -> list[float]:
+    """Log of the chance of each character after each other one, by pair number.
+
+    Counts of a pair are smoothed by the frequency of its second character, and that by
+    the uniform distribution.
+    """
+    rows = [counts[a * _SIZE : (a + 1) * _SIZE] for a in range(_SIZE)]
+    by_second = [sum(column) + 0.5 for column in zip(*rows)]
+    total = sum(by_second)
+    out = []
+    for row in rows:
+        weight = sum(row) + SMOOTHING
+        out += [
+            math.log((n + SMOOTHING * m / total) / weight) for n, m in zip(row, by_second)
+        ]
     return out
 
 
