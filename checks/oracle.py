@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-EVENTS = """
+# The categories, in the order the product number selects them.
+CATEGORIES = (
+    "smartphones",
+    "laptops",
+    "tablets",
+    "headphones",
+    "smartwatches",
+    "cameras",
+    "gaming",
+    "accessories",
+)
+CATEGORY_LIST = "[" + ", ".join(f"'{name}'" for name in CATEGORIES) + "]"
+
+EVENTS = f"""
 ev AS (
   SELECT 'user_' || CAST(user_id AS VARCHAR) AS user_id,
          'product_' || CAST(k AS VARCHAR) AS product_id,
-         ['smartphones', 'laptops', 'tablets', 'headphones', 'smartwatches',
-          'cameras', 'gaming', 'accessories'][CAST(k % 8 AS BIGINT) + 1]
-           AS product_category,
+         {CATEGORY_LIST}[CAST(k % 8 AS BIGINT) + 1] AS product_category,
          CASE event_type WHEN 'click' THEN 'add_to_cart' ELSE event_type END
            AS event_type,
          ts AS event_timestamp,
@@ -115,6 +126,17 @@ LOGGED = f"""SELECT user_id, product_id, product_category, event_type,
   {text_time('event_timestamp')} AS event_timestamp,
   strftime(day, '%Y-%m-%d') AS event_date FROM ev"""
 
+PART = "CAST(split_part(product_id, '_', 2) AS BIGINT) % 4"
+UNDAMAGED = f" WHERE event_type <> 'error' AND NOT (event_type = 'signup' AND {PART} < 3)"
+
+UNDATED = """
+undated AS (
+  SELECT * REPLACE (
+    CASE WHEN day <> DATE '2024-01-03' THEN event_timestamp END AS event_timestamp,
+    CASE WHEN day <> DATE '2024-01-03' THEN day END AS day)
+  FROM ev
+)"""
+
 SEGMENT_CANDIDATES = """
 candidates AS (
   SELECT day,
@@ -200,7 +222,7 @@ FROM ev""",
     + """SELECT CASE WHEN event_type IN ('signup', 'error') THEN 'unknown'
   ELSE product_category END AS category, count(*) AS events
 FROM ev GROUP BY 1""",
-    "product_category": """
+    "product_category": f"""
 WITH forms AS (
   SELECT CASE event_type WHEN 'click' THEN 'product_-' || k
            WHEN 'purchase' THEN 'product_' || k || '_x' WHEN 'signup' THEN 'p' || k
@@ -211,9 +233,8 @@ WITH forms AS (
         FROM events)
 )
 SELECT product_id, count(*) AS events,
-  CASE ((number % 8) + 8) % 8 WHEN 0 THEN 'smartphones' WHEN 1 THEN 'laptops'
-    WHEN 2 THEN 'tablets' WHEN 3 THEN 'headphones' WHEN 4 THEN 'smartwatches'
-    WHEN 5 THEN 'cameras' WHEN 6 THEN 'gaming' ELSE 'accessories' END AS category
+  coalesce({CATEGORY_LIST}[CAST(((number % 8) + 8) % 8 AS BIGINT) + 1], 'accessories')
+    AS category
 FROM forms GROUP BY product_id, number""",
     "buyer_rate": with_(ACTIVITY, FIGURES)
     + f"""SELECT {DAY}, buyer_count AS buyers, window_shopper_count AS shoppers,
@@ -245,6 +266,19 @@ WHERE NOT EXISTS (SELECT 1 FROM ev b WHERE b.day = e.day AND b.user_id = e.user_
     "top_viewed_products": with_(views())
     + f"""SELECT {DAY}, product_id, view_count, rank FROM views_by_product
 WHERE rank <= 5""",
+    "top_viewed_products_undated": with_(UNDATED, views("undated_views", "undated"))
+    + f"""SELECT {DAY}, product_id, view_count, rank FROM undated_views
+WHERE rank <= 40""",
+    "summary_undated": with_(UNDATED)
+    + f"""SELECT {DAY}, total_events, buyers, users - buyers AS shoppers,
+  least(buyers, 10) AS listed_buyers, least(users - buyers, 10) AS listed_shoppers,
+  least(products, 5) AS listed_products, categories AS listed_categories
+FROM (SELECT day, count(*) AS total_events, count(DISTINCT user_id) AS users,
+        count(DISTINCT user_id) FILTER (WHERE event_type = 'purchase') AS buyers,
+        count(DISTINCT product_id) FILTER (WHERE event_type = 'view') AS products,
+        count(DISTINCT product_category)
+          FILTER (WHERE event_type IN ('view', 'purchase')) AS categories
+      FROM undated GROUP BY day)""",
     "product_rank": with_(views())
     + f"SELECT {DAY}, product_id, view_count, rank FROM views_by_product",
     "category_conversion": with_(conversion())
@@ -361,10 +395,13 @@ FROM figures WHERE day = DATE '2024-01-15'""",
 FROM conversion WHERE day >= DATE '2024-01-30' - INTERVAL 7 DAY
 ORDER BY day DESC, conversion_rate DESC, category""",
     "daily_event_log": with_() + LOGGED,
-    "jsonl_daily_scan": with_() + LOGGED + " WHERE event_type <> 'error'",
+    "jsonl_daily_scan": with_() + LOGGED + UNDAMAGED,
+    "daily_files_scan": with_() + LOGGED + UNDAMAGED,
     "jsonl_malformed_lines": with_()
-    + f"""SELECT strftime(day, '%Y-%m-%d') AS event_date, left({JSON}, 30) AS line
-FROM ev WHERE event_type = 'error'""",
+    + f"""SELECT strftime(day, '%Y-%m-%d') AS event_date,
+  CASE WHEN event_type = 'error' THEN left({JSON}, 30)
+    WHEN {PART} = 0 THEN {JSON} || {JSON} ELSE {JSON} || ' junk' END AS line
+FROM ev WHERE event_type = 'error' OR event_type = 'signup' AND {PART} < 2""",
     "stream_event_log": with_() + LOGGED,
     # Appended are the windows the watermark, ten minutes behind the newest event
     # and counted in milliseconds, has passed.

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.prepare import prepared
 from trolley import schemas
 from trolley.functions import events as expr
 from trolley.functions import rates
 from trolley.operators import categories, constraints, merge, products, summaries
 from trolley.operators import traffic, users, windows
+from trolley.operators.ranking import GROUP_LIMIT_SETTING
 from trolley.plans.daily import daily_results, store
 from trolley.session import scratch_path
 from trolley.settings import Settings
@@ -24,7 +26,8 @@ from trolley.sinks import kafka
 from trolley.sinks.event_logs import append_event_log, start_event_log
 from trolley.sinks.tables import create_tables, staged, upsert
 from trolley.sources import decode, serving
-from trolley.sources.event_logs import malformed_lines_of, read_event_log
+from trolley.sources.event_logs import malformed_lines_of, read_daily_logs
+from trolley.sources.event_logs import read_event_log
 from trolley.sources.shop_events import read_shop_events, stream_shop_events
 from trolley.streaming import pipeline
 from trolley.streaming import queries as streams
@@ -35,6 +38,7 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # The first load of a table sees what had arrived by then, the second sees all.
 FIRST_LOAD = "2024-01-20 12:00:00"
 SECOND_LOAD = "2024-01-31 02:00:00"
+UNDATED_DAY = "2024-01-03"
 GENERATED_AT = "2024-01-31T02:00:00.000000"
 # The data is too thin for the default thresholds and windows.
 ALERT_WINDOW, ALERT_SLIDE = "2 days", "1 day"
@@ -44,7 +48,7 @@ REGISTERED: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    REGISTERED[query.__name__] = query
+    REGISTERED[query.__name__] = prepared(query)
     return query
 
 
@@ -228,6 +232,49 @@ def top_viewed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(products.top_viewed_products(_views(spark, sf_dir)).drop("first_seen"))
 
 
+def _partly_undated(events: DataFrame) -> DataFrame:
+    """Events of which those of one day have lost their time."""
+    dated = F.col("event_date") != F.lit(UNDATED_DAY).cast("date")
+    return events.withColumns(
+        {name: F.when(dated, F.col(name)) for name in ("event_timestamp", "event_date")}
+    )
+
+
+@register
+def top_viewed_products_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top forty of each day, and of what has no day; ranked by a sort of all rows."""
+    events = _partly_undated(read_shop_events(spark, sf_dir, [schemas.VIEW]))
+    limit = spark.conf.get(GROUP_LIMIT_SETTING)
+    spark.conf.set(GROUP_LIMIT_SETTING, "10")
+    try:
+        top = products.top_viewed_products(products.product_views(events), 40)
+    finally:
+        spark.conf.set(GROUP_LIMIT_SETTING, limit)
+    return plain(top.drop("first_seen"))
+
+
+@register
+def summary_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the summaries of the same rows hold."""
+    events = _partly_undated(read_shop_events(spark, sf_dir))
+    found = daily_results(events, F.lit(GENERATED_AT)).summaries
+    sizes = {
+        "listed_buyers": F.size("buyers.user_ids"),
+        "listed_shoppers": F.size("window_shoppers.user_ids"),
+        "listed_products": F.size("top_products"),
+        "listed_categories": F.size("categories"),
+    }
+    return plain(
+        found.select(
+            "report_date",
+            "total_events",
+            F.col("buyers.count").alias("buyers"),
+            F.col("window_shoppers.count").alias("shoppers"),
+            *[size.alias(name) for name, size in sizes.items()],
+        )
+    )
+
+
 @register
 def product_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rank of every product viewed on a day."""
@@ -296,7 +343,7 @@ def daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_results(read_shop_events(spark, sf_dir), F.lit(GENERATED_AT))[0]
+    return daily_results(read_shop_events(spark, sf_dir), F.lit(GENERATED_AT)).summaries
 
 
 @register
@@ -333,7 +380,7 @@ def _segment_rows(events: DataFrame) -> DataFrame:
 @register
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top products of all events merged into those of the early ones."""
-    events = read_shop_events(spark, sf_dir)
+    events = read_shop_events(spark, sf_dir, [schemas.VIEW])
     early = _product_rows(arrived_early(events)).withColumn(
         "created_at", moment(FIRST_LOAD)
     )
@@ -373,7 +420,7 @@ def upsert_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def upsert_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_shop_events(spark, sf_dir)
+    events = read_shop_events(spark, sf_dir, [schemas.VIEW])
     return _loaded_twice(
         spark,
         schemas.PRODUCT_PERFORMANCE,
@@ -384,7 +431,7 @@ def upsert_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def upsert_category_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_shop_events(spark, sf_dir)
+    events = read_shop_events(spark, sf_dir, VIEWS_AND_PURCHASES)
     return _loaded_twice(
         spark,
         schemas.CATEGORY_CONVERSION,
@@ -436,8 +483,8 @@ def constraint_violations_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(spark: SparkSession, sf_dir: str) -> str:
     """All tables filled by the daily job."""
     root = scratch_path(spark, "tables")
-    found, segments = daily_results(read_shop_events(spark, sf_dir), F.lit(GENERATED_AT))
-    store(found, segments, root, moment(SECOND_LOAD))
+    results = daily_results(read_shop_events(spark, sf_dir), F.lit(GENERATED_AT))
+    store(results, root, moment(SECOND_LOAD))
     return root
 
 
@@ -472,19 +519,41 @@ def daily_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged_log(spark: SparkSession, sf_dir: str) -> str:
-    """Daily logs in which the lines of error events are cut off."""
+    """Daily logs with damaged lines.
+
+    Those of error events are cut off; of the sign-ups some stand twice on a line, some
+    have something after them, and some are nothing but a tab.
+    """
     path = scratch_path(spark, "event-log")
     events = read_shop_events(spark, sf_dir)
-    cut = F.when(
-        F.col("event_type") == "error", F.left("value", F.lit(30))
-    ).otherwise(F.col("value"))
+    value, kind = F.col("value"), F.col("event_type")
+    part = F.split("product_id", "_")[1].cast("int") % 4
+    damaged = (
+        F.when(kind == "error", F.left(value, F.lit(30)))
+        .when((kind == "signup") & (part == 0), F.concat(value, value))
+        .when((kind == "signup") & (part == 1), F.concat(value, F.lit(" junk")))
+        .when((kind == "signup") & (part == 2), F.lit("\t"))
+        .otherwise(value)
+    )
     lines = events.select("*", expr.event_json().alias("value"))
-    lines.select(cut.alias("value"), "event_date").write.partitionBy(
+    lines.select(damaged.alias("value"), "event_date").write.partitionBy(
         "event_date"
     ).text(path)
     return path
 
 
+@register
+def daily_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same logs under the names of daily logs, each a folder of parts."""
+    root = _damaged_log(spark, sf_dir)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.globStatus(path(f"{root}/event_date=*")):
+        day = status.getPath().getName().split("=")[1]
+        store.rename(status.getPath(), path(f"{root}/clickstream_{day}.jsonl"))
+    return plain(read_daily_logs(spark, root).drop("timestamp"))
+
+
 @register
 def jsonl_daily_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily logs with malformed lines: the good rows are all there."""
@@ -512,8 +581,8 @@ def stream_stats_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, settings, path, scratch_path(spark, "checkpoint"), ALL_NOW
     )
     query.awaitTermination()
-    found = spark.read.schema(schemas.WINDOWED_STATS).parquet(path)
-    return plain(found.drop("processed_at"))
+    found = serving.read_history(spark, path)
+    return plain(found.drop("processed_at", "window_date"))
 
 
 @register
@@ -527,12 +596,12 @@ def stream_flash_sale_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "tables")
     alerts = pipeline.alerts(stream_shop_events(spark, sf_dir), settings)
-    query = streams.start_alert_table(
+    query = streams.start_alerts(
         alerts, settings, root, scratch_path(spark, "checkpoint"), ALL_NOW
     )
     query.awaitTermination()
     found = serving.read_table(spark, root, schemas.FLASH_SALE_ALERTS)
-    return plain(found.drop("detected_at", "window_date"))
+    return plain(found.drop("detected_at", "window_hour"))
 
 
 @register

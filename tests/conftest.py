@@ -16,7 +16,7 @@ TESTDATA = Path("/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         Settings(app_name="tests", master="local[8]"),
         {
@@ -24,6 +24,7 @@ def spark():
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.catalogImplementation": "in-memory",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -44,18 +45,16 @@ def make_events(spark):
 
 @pytest.fixture
 def sample(make_events):
-    """Three users, five minutes apart: one buys, two only look."""
-    steps = [
-        ("user_1", "product_1", "view"),
-        ("user_1", "product_1", "purchase"),
-        ("user_2", "product_2", "view"),
-        ("user_2", "product_2", "add_to_cart"),
-        ("user_3", "product_1", "view"),
-        ("user_3", "product_3", "view"),
-    ]
+    """A morning in a lamp shop: ann and cid buy, bo, dot and eve only look."""
     return make_events(
-        *[
-            (user, product, None, kind, f"2024-01-01T10:{5 * i:02d}:00")
-            for i, (user, product, kind) in enumerate(steps)
-        ]
+        ("ann", "lamp", "light", "view", "2023-11-07T08:02:11"),
+        ("bo", "lamp", "light", "view", "2023-11-07T08:03:40"),
+        ("ann", "bulb", "light", "view", "2023-11-07T08:05:02"),
+        ("cid", "rug", None, "view", "2023-11-07T08:20:59"),
+        ("ann", "bulb", "light", "add_to_cart", "2023-11-07T08:21:00"),
+        ("ann", "bulb", "light", "purchase", "2023-11-07T08:29:30"),
+        ("dot", "lamp", "light", "view", "2023-11-07T09:00:00"),
+        ("cid", "rug", None, "purchase", "2023-11-07T09:12:45"),
+        ("eve", "bulb", "light", "view", "2023-11-07T09:13:07"),
+        ("cid", "rug", None, "purchase", "2023-11-07T11:40:00"),
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators import categories, products, summaries, traffic, users
 
-DAY = datetime.date(2024, 1, 1)
+DAY = datetime.date(2023, 11, 7)
 
 
 def rows(df, *columns):
@@ -24,26 +24,27 @@ def summary_of(events, generated_at="2024-01-02T02:00:00"):
 def test_segments_of_the_sample(sample):
     segments = users.user_segments(users.user_activity(sample))
     assert sorted(rows(segments, "report_date", "user_id", "segment")) == [
-        (DAY, "user_1", "buyer"),
-        (DAY, "user_2", "window_shopper"),
-        (DAY, "user_3", "window_shopper"),
+        (DAY, "ann", "buyer"),
+        (DAY, "bo", "window_shopper"),
+        (DAY, "cid", "buyer"),
+        (DAY, "dot", "window_shopper"),
+        (DAY, "eve", "window_shopper"),
     ]
 
 
 def test_other_figures_of_the_sample(sample):
     top = products.top_viewed_products(products.product_views(sample))
     assert sorted(rows(top, "rank", "product_id", "view_count")) == [
-        (1, "product_1", 2),
-        (2, "product_2", 1),
-        (3, "product_3", 1),
+        (1, "lamp", 3),
+        (2, "bulb", 2),
+        (3, "rug", 1),
     ]
     conversion = categories.category_conversion(sample)
-    assert rows(conversion, "category", "views", "purchases", "conversion_rate") == [
-        ("unknown", 4, 1, 25.0)
-    ]
+    found = rows(conversion, "category", "views", "purchases", "conversion_rate")
+    assert sorted(found) == [("light", 5, 1, 20.0), ("unknown", 1, 2, 200.0)]
     figures = summaries.daily_summary(users.user_activity(sample)).first()
-    assert (figures.total_events, figures.buyer_count) == (6, 1)
-    assert (figures.window_shopper_count, str(figures.buyer_rate)) == (2, "33.33")
+    assert (figures.total_events, figures.buyer_count) == (10, 2)
+    assert (figures.window_shopper_count, str(figures.buyer_rate)) == (3, "40.00")
 
 
 def test_only_valid_users_have_a_segment(make_events):
@@ -167,17 +168,18 @@ def test_document_of_the_sample(sample):
     (row,) = summaries.summary_json(summary_of(sample)).collect()
     document = json.loads(row.document)
     assert document == {
-        "date": "2024-01-01",
-        "total_events": 6,
-        "window_shoppers": {"count": 2, "user_ids": ["user_2", "user_3"]},
-        "buyers": {"count": 1, "user_ids": ["user_1"]},
+        "date": "2023-11-07",
+        "total_events": 10,
+        "window_shoppers": {"count": 3, "user_ids": ["bo", "dot", "eve"]},
+        "buyers": {"count": 2, "user_ids": ["ann", "cid"]},
         "top_5_viewed_products": [
-            {"product_id": "product_1", "views": 2},
-            {"product_id": "product_2", "views": 1},
-            {"product_id": "product_3", "views": 1},
+            {"product_id": "lamp", "views": 3},
+            {"product_id": "bulb", "views": 2},
+            {"product_id": "rug", "views": 1},
         ],
         "conversion_rates_by_category": {
-            "unknown": {"views": 4, "purchases": 1, "conversion_rate": 25.0}
+            "unknown": {"views": 1, "purchases": 2, "conversion_rate": 200.0},
+            "light": {"views": 5, "purchases": 1, "conversion_rate": 20.0},
         },
         "generated_at": "2024-01-02T02:00:00",
     }
@@ -187,29 +189,30 @@ def test_document_of_the_sample(sample):
 
 def test_report_of_the_sample(sample):
     summary = summary_of(sample)
-    report = summaries.report_for(summary, "2024-01-01").first().report
+    report = summaries.report_for(summary, "2023-11-07").first().report
     assert report.splitlines() == [
-        "Daily E-commerce Summary - 2024-01-01",
+        "Daily E-commerce Summary - 2023-11-07",
         "=" * 60,
         "",
-        "Total Events: 6",
+        "Total Events: 10",
         "",
         "USER SEGMENTATION",
         "-" * 40,
-        "- Buyers: 1",
-        "- Window Shoppers: 2",
+        "- Buyers: 2",
+        "- Window Shoppers: 3",
         "",
         "TOP 5 VIEWED PRODUCTS",
         "-" * 40,
-        "1. product_1 - 2 views",
-        "2. product_2 - 1 views",
-        "3. product_3 - 1 views",
+        "1. lamp - 3 views",
+        "2. bulb - 2 views",
+        "3. rug - 1 views",
         "",
         "CONVERSION RATES BY PRODUCT CATEGORY",
         "-" * 40,
         "Category             Views  Purchases       Rate",
         "-" * 45,
-        "unknown                  4          1     25.00%",
+        "unknown                  1          2    200.00%",
+        "light                    5          1     20.00%",
         "",
         "=" * 60,
         "Report generated at: 2024-01-02T02:00:00",
@@ -218,6 +221,26 @@ def test_report_of_the_sample(sample):
     assert missing == "No data available for summary."
 
 
+def test_events_without_a_date_are_a_day_of_their_own(spark, make_events):
+    events = make_events(
+        ("u", "a", "c", "view", "soon"),
+        ("u", "a", "c", "purchase", "later"),
+        ("v", "b", "d", "view", ""),
+        ("w", "a", "c", "view", "2024-01-01T10:00:00"),
+    )
+    undated = summary_of(events).where("report_date IS NULL").first()
+    assert (undated.total_events, undated.buyers.user_ids) == (3, ["u"])
+    assert [entry.product_id for entry in undated.top_products] == ["a", "b"]
+    assert [entry.category for entry in undated.categories] == ["c", "d"]
+    views = products.product_views(events)
+    key = ("report_date", "product_id", "rank")
+    expected = sorted(rows(products.top_viewed_products(views, 5), *key), key=str)
+    assert len(expected) == 3
+    for n in (2000, None):
+        found = rows(products.top_viewed_products(views, n), *key)
+        assert sorted(found, key=str) == expected
+
+
 def test_a_day_without_views_has_empty_lists(make_events):
     events = make_events(("u", "p", "c", "add_to_cart", "2024-01-01T10:00:00"))
     (row,) = summary_of(events).collect()
@@ -236,9 +259,9 @@ def test_nothing_comes_from_nothing(make_events, sample):
 def test_mix_of_types(sample):
     found = traffic.event_type_distribution(sample)
     assert sorted(rows(found, "event_type", "events", "share_percent")) == [
-        ("add_to_cart", 1, 16.7),
-        ("purchase", 1, 16.7),
-        ("view", 4, 66.7),
+        ("add_to_cart", 1, 10.0),
+        ("purchase", 3, 30.0),
+        ("view", 6, 60.0),
     ]
 
 

@@ -7,11 +7,21 @@ from trolley.functions import events as expr
 from trolley.functions import rates
 
 
+# The categories, in the order the product number selects them.
+CATEGORIES = (
+    "smartphones",
+    "laptops",
+    "tablets",
+    "headphones",
+    "smartwatches",
+    "cameras",
+    "gaming",
+    "accessories",
+)
+
+
 def category(number):
-    names = (
-        "smartphones laptops tablets headphones smartwatches cameras gaming accessories"
-    ).split()
-    return names[number % len(names)]
+    return CATEGORIES[number % len(CATEGORIES)]
 
 
 @pytest.mark.parametrize(
@@ -82,8 +92,8 @@ def test_missing_category_is_unknown_and_an_empty_one_stays(spark):
 
 
 def test_event_json_keeps_missing_fields(sample):
-    text = sample.select(expr.event_json()).first()[0]
+    text = sample.orderBy(F.desc("event_timestamp")).select(expr.event_json()).first()[0]
     assert text == (
-        '{"user_id":"user_1","product_id":"product_1","product_category":null,'
-        '"event_type":"view","timestamp":"2024-01-01T10:00:00"}'
+        '{"user_id":"cid","product_id":"rug","product_category":null,'
+        '"event_type":"purchase","timestamp":"2023-11-07T11:40:00"}'
     )

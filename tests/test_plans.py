@@ -18,7 +18,15 @@ BUILT_BY_JOBS = {
     name
     for name in REGISTERED
     if name.startswith(("upsert_", "stream_", "jsonl_", "daily_summary_doc", "daily_report"))
-} | {"summary_by_date", "conversion_trends", "daily_event_log", "product_rank"}
+} | {
+    "summary_by_date",
+    "conversion_trends",
+    "daily_event_log",
+    "daily_files_scan",
+    "product_rank",
+    "summary_undated",
+    "top_viewed_products_undated",
+}
 
 
 def plan_of(spark, name):
@@ -42,6 +50,7 @@ def test_no_plan_crosses_or_leaves_the_jvm(spark, name):
         ("product_view_counts", "ts event_type props", "EqualTo(event_type,view)"),
         ("user_segments", "ts user_id event_type", None),
         ("event_type_distribution", "event_type", None),
+        ("merge_upsert", "ts event_type props", "EqualTo(event_type,view)"),
         ("sliding_window_counts", "ts", "IsNotNull(ts)"),
         ("windowed_product_stats", "ts event_type props", "IsNotNull(ts)"),
     ],
@@ -94,4 +103,6 @@ def test_a_merge_shuffles_each_side_once(spark, tmp_path):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 2
+    assert "SortAggregate" not in plan
+    assert len(re.findall(r"^\(\d+\) Sort\b", plan, re.M)) == 2
     assert "PartitionFilters: [report_date" in plan and " IN (2024-01-01,2024-01-02)" in plan

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from trolley import schemas
 from trolley.operators.windows import windowed_product_stats
 from trolley.settings import Settings
+from trolley.sinks import tables
 from trolley.sinks.event_logs import start_event_log
 from trolley.sources.decode import parse_events, with_event_time
 from trolley.sources.event_logs import read_event_log
-from trolley.sources.serving import read_table
+from trolley.sources.serving import read_history, read_rejected_alerts, read_table
+from trolley.sources.serving import rejected_path
 from trolley.streaming import job, pipeline, queries
 
 NOW = {"availableNow": True}
@@ -74,7 +76,7 @@ def run_history(feed, tmp_path, settings=Settings()):
         pipeline.history(feed.events(), settings), settings, path, checkpoint, NOW
     )
     query.awaitTermination()
-    return feed.spark.read.schema(schemas.WINDOWED_STATS).parquet(path), query
+    return read_history(feed.spark, path), query
 
 
 def test_history_holds_each_closed_window_once(spark, feed, tmp_path):
@@ -162,7 +164,7 @@ def test_alert_table_is_keyed_by_window_and_product(spark, feed, tmp_path):
 
     def run():
         alerts = pipeline.alerts(feed.events(), LOW)
-        query = queries.start_alert_table(alerts, LOW, root, checkpoint, NOW)
+        query = queries.start_alerts(alerts, LOW, root, checkpoint, NOW)
         query.awaitTermination()
         return read_table(spark, root, schemas.FLASH_SALE_ALERTS)
 
@@ -176,18 +178,74 @@ def test_alert_table_is_keyed_by_window_and_product(spark, feed, tmp_path):
     second = run()
     assert in_order(second, *columns) == [("09:55", "a", 3, 0), ("10:00", "a", 3, 0)]
     assert in_order(second, start_text(), "detected_at") == detected
-    rejected = spark.read.parquet(f"{root}/flash_sale_alerts_rejected")
+    rejected = read_rejected_alerts(spark, root)
     assert in_order(rejected, start_text(), "product_id", "views") == [
         ("09:55", None, 2),
         ("10:00", None, 2),
     ]
     # The same batch again, as after a failure, changes nothing.
     expected = in_order(second, *columns)
-    queries.store_alerts(second.drop("detected_at", "window_date"), root)
+    queries.store_alerts(second.drop("detected_at", "window_hour"), root, 1)
     again = read_table(spark, root, schemas.FLASH_SALE_ALERTS)
     assert in_order(again, *columns) == expected
 
 
+def test_rejected_alerts_are_kept_once_per_batch(spark, feed, tmp_path):
+    root = str(tmp_path / "tables")
+    no_product = json.dumps({"event_type": "view", "timestamp": at(1)})
+    for number in range(3):
+        feed.add(*[no_product] * 2)
+    alerts = pipeline.alerts(feed.events(), LOW)
+    query = queries.start_alerts(alerts, LOW, root, str(tmp_path / "cp"), NOW)
+    query.awaitTermination()
+    newest = read_rejected_alerts(spark, root)
+    expected = [("09:55", None, 6), ("10:00", None, 6)]
+    assert in_order(newest, start_text(), "product_id", "views") == expected
+    every = spark.read.parquet(rejected_path(root))
+    assert every.count() == 6
+    # The last batch again, as after a failure.
+    batch = newest.select("window_start", "window_end", "product_id", "views", "purchases")
+    queries.store_alerts(batch, root, 2)
+    assert spark.read.parquet(rejected_path(root)).count() == 6
+
+
+def test_a_trigger_rewrites_the_hours_of_open_windows(spark, tmp_path):
+    root = str(tmp_path / "tables")
+
+    def alert(hour):
+        return spark.sql(
+            f"SELECT TIMESTAMP'2024-01-01 {hour}:00:00' AS window_start, "
+            f"TIMESTAMP'2024-01-01 {hour}:10:00' AS window_end, 'p' AS product_id, "
+            "3L AS views, 0L AS purchases"
+        )
+
+    tables.create_tables(spark, root, [schemas.FLASH_SALE_ALERTS])
+    queries.store_alerts(alert("10"), root, 0)
+    first = set(read_table(spark, root, schemas.FLASH_SALE_ALERTS).inputFiles())
+    queries.store_alerts(alert("11"), root, 1)
+    assert first < set(read_table(spark, root, schemas.FLASH_SALE_ALERTS).inputFiles())
+
+
+def test_history_has_few_files_and_reads_by_day(spark, feed, tmp_path):
+    for hour in range(10, 14):
+        feed.add(*[(f"p{i}", "view", at(i, hour)) for i in range(40)])
+    stats, _ = run_history(feed, tmp_path, Settings(history_files=1))
+    files = list((tmp_path / "history").rglob("*.parquet"))
+    batches = list((tmp_path / "history").rglob("batch_id=*"))
+    day_files = [path for path in files if "batch_id" in str(path)]
+    assert batches and len(day_files) == len(batches)
+    pruned = stats.where("window_date = DATE'2024-01-02'")
+    assert pruned.count() == 0 and stats.count() > 0
+
+
+def test_alerts_on_the_console(spark, feed, tmp_path, capsys):
+    feed.add(("a", "view", at(1)), ("a", "view", at(2)))
+    alerts = pipeline.alerts(feed.events(), LOW)
+    query = queries.start_alerts(alerts, LOW, None, str(tmp_path / "cp"), NOW)
+    query.awaitTermination()
+    assert "2 changed alerts" in capsys.readouterr().out
+
+
 def test_event_log_of_a_stream(spark, feed, tmp_path):
     feed.add(("a", "view", at(1)), ("b", "view", "2024-01-02T10:00:00"))
     path = str(tmp_path / "log")
@@ -215,7 +273,7 @@ def test_the_job_starts_all_queries(spark, feed, tmp_path):
     started = job.start(spark, feed.messages(), settings, str(tmp_path / "checkpoints"))
     try:
         names = {query.name for query in started}
-        assert names == {"alerts_console", "alerts_table", "stats_history"}
+        assert names == {"alerts", "stats_history"}
         for query in started:
             query.processAllAvailable()
     finally:
@@ -223,5 +281,5 @@ def test_the_job_starts_all_queries(spark, feed, tmp_path):
             query.stop()
     alerts = read_table(spark, settings.tables_path, schemas.FLASH_SALE_ALERTS)
     assert in_order(alerts, start_text(), "views") == [("09:55", 2), ("10:00", 2)]
-    history = spark.read.schema(schemas.WINDOWED_STATS).parquet(settings.history_path)
+    history = read_history(spark, settings.history_path)
     assert in_order(history, start_text(), "views") == [("09:55", 2), ("10:00", 2)]

@@ -110,6 +110,46 @@ def test_replaced_days_lose_rows_without_a_new_one(spark, products, root):
     assert stored(spark, root) == [(day(1), "b", 3, 1, "01"), (day(2), "c", 1, 1, "01")]
 
 
+def test_named_days_without_a_new_row_are_cleared(spark, products, root):
+    tables.create_tables(spark, root, [TABLE])
+    load(products((day(1), "a", 1, 1), (day(2), "b", 2, 1), (day(3), "c", 1, 1)), root, FIRST)
+    new = products((day(2), "d", 3, 1))
+    load(new, root, SECOND, days=[day(1), day(2)], replace_days=True)
+    assert stored(spark, root) == [(day(2), "d", 3, 1, "02"), (day(3), "c", 1, 1, "01")]
+    tables.upsert_all({TABLE: products()}, root, at(SECOND), [day(3)], replace_days=True)
+    assert stored(spark, root) == [(day(2), "d", 3, 1, "02")]
+
+
+def test_all_violations_are_written_and_counted(spark, products, root):
+    rows = products(*[(day(1), "p" * 60 + str(i), 1, 1) for i in range(50)])
+    with pytest.raises(tables.ConstraintViolation, match="50 violations") as error:
+        tables.check(rows, TABLE)
+    path = str(error.value).split("all of them in ")[1].split(": ")[0]
+    assert spark.read.parquet(path).count() == 50
+
+
+def test_days_with_many_categories_are_stored(spark, make_events, root):
+    many = spark.range(100_000).selectExpr(
+        "'u' AS user_id", "'p' AS product_id", "concat('c', id) AS product_category",
+        "'view' AS event_type", "TIMESTAMP'2024-01-01 10:00:00' AS event_timestamp",
+        "DATE'2024-01-01' AS event_date",
+    )
+    results = daily_results(many)
+    plan = results.conversion._jdf.queryExecution().toString()
+    assert "collect_list" not in plan
+    store(results, root, at(FIRST))
+    assert serving.read_table(spark, root, schemas.CATEGORY_CONVERSION).count() == 100_000
+
+
+def test_events_without_a_date_are_not_stored(spark, make_events, root, caplog):
+    events = make_events(
+        ("u", "p", "c", "view", "2024-01-01T10:00:00"), ("u", "p", "c", "view", "soon")
+    )
+    store(daily_results(events), root, at(FIRST))
+    assert serving.read_table(spark, root, schemas.DAILY_SUMMARY).count() == 1
+    assert "1 events without a date are not stored" in caplog.text
+
+
 def test_an_empty_batch_changes_nothing(spark, products, root):
     tables.create_tables(spark, root, [TABLE])
     load(products((day(1), "a", 1, 1)), root, FIRST)
@@ -186,25 +226,28 @@ def test_nothing_is_stored_if_any_row_is_invalid(spark, products, root):
 
 
 def test_the_daily_results_are_stored_and_read(spark, sample, root):
-    found, segments = daily_results(sample, F.lit("2024-01-02T02:00:00"))
+    results = daily_results(sample, F.lit("2024-01-02T02:00:00"))
     for _ in range(2):
-        store(found, segments, root, at(FIRST))
-        summary = serving.summary_by_date(spark, root, "2024-01-01").first().asDict(True)
+        store(results, root, at(FIRST))
+        summary = serving.summary_by_date(spark, root, "2023-11-07").first().asDict(True)
         assert summary == {
-            "date": "2024-01-01",
-            "total_events": 6,
-            "buyers": {"count": 1},
-            "window_shoppers": {"count": 2},
-            "buyer_rate": 33.33,
+            "date": "2023-11-07",
+            "total_events": 10,
+            "buyers": {"count": 2},
+            "window_shoppers": {"count": 3},
+            "buyer_rate": 40.0,
             "generated_at": "2024-01-02 02:00:00",
         }
-        trend = serving.conversion_trends(spark, root, as_of="2024-01-08").collect()
-        assert [tuple(row) for row in trend] == [("2024-01-01", "unknown", 25.0)]
-        assert serving.read_table(spark, root, schemas.USER_SEGMENTS).count() == 3
+        trend = serving.conversion_trends(spark, root, as_of="2023-11-14").collect()
+        assert [tuple(row) for row in trend] == [
+            ("2023-11-07", "unknown", 200.0),
+            ("2023-11-07", "light", 20.0),
+        ]
+        assert serving.read_table(spark, root, schemas.USER_SEGMENTS).count() == 5
         assert [row[1:4] for row in stored(spark, root)] == [
-            ("product_1", 2, 1),
-            ("product_2", 1, 2),
-            ("product_3", 1, 3),
+            ("bulb", 2, 2),
+            ("lamp", 3, 1),
+            ("rug", 1, 3),
         ]
     assert serving.summary_by_date(spark, root, "2024-01-02").count() == 0
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,24 +23,18 @@ def merge_upsert(
     the stored one. Inserted rows get ``now`` as ``stamp`` unless they bring a
     value. A key that comes twice in ``source`` is an error.
 
-    Keys are unique on both sides of the join, so no key is hot. The check for
-    repeated keys is combined before the shuffle, and its partitioning is the
-    one the join needs.
+    Keys are unique on both sides of the join, so no key is hot. Rows of a key are
+    numbered in the partitions and the order that the join needs anyway.
     """
     key = list(key)
     others = [name for name in source.columns if name not in key]
     repeated = F.raise_error(
         F.concat(F.lit("key comes twice in one batch: "), F.to_json(F.struct(*key)))
     )
-    arrived = (
-        source.groupBy(*key)
-        .agg(
-            F.first(F.struct(F.lit(True).alias("_any"), *others)).alias("_new"),
-            F.count("*").alias("_rows"),
-        )
-        .select(
-            *key, F.when(F.col("_rows") == 1, F.col("_new")).otherwise(repeated).alias("_new")
-        )
+    by_key = Window.partitionBy(*key).orderBy(*key)
+    row = F.struct(F.lit(True).alias("_any"), *others)
+    arrived = source.withColumn("_number", F.row_number().over(by_key)).select(
+        *key, F.when(F.col("_number") == 1, row).otherwise(repeated).alias("_new")
     )
     stored = target.withColumn("_stored", F.lit(True))
     is_new = F.col("_new").isNotNull()

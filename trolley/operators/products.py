@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley import schemas
 from trolley.functions.events import has_text, is_type
-from trolley.operators.ranking import positions
-
-# Spark cuts a ranked window to its first rows before the shuffle up to this
-# limit (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+from trolley.operators.ranking import first_of_group
 
 
 def product_views(events: DataFrame) -> DataFrame:
@@ -30,20 +26,12 @@ def top_viewed_products(views: DataFrame, n: int | None = 5) -> DataFrame:
     """The ``n`` most viewed products of each day with their rank, all for None.
 
     Ranks are positions: equal counts are ordered by first view, then by id.
-    Short lists are cut in every task before the shuffle; for longer ones the
-    rows are ranked by a distributed sort, as a day's products may not fit into
-    one task.
+    Views without a date are a day of their own.
     """
     order = (
         F.desc("view_count"),
         F.asc_nulls_last("first_seen"),
         F.asc("product_id"),
     )
-    if n is not None and n <= GROUP_LIMIT:
-        day = Window.partitionBy("report_date").orderBy(*order)
-        ranked = views.withColumn("rank", F.row_number().over(day))
-    else:
-        ranked = positions(views, "report_date", order, "rank")
-    if n is not None:
-        ranked = ranked.where(F.col("rank") <= n)
+    ranked = first_of_group(views, ["report_date"], order, "rank", n)
     return ranked.select("report_date", "product_id", "view_count", "rank", "first_seen")

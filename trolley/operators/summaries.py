@@ -29,6 +29,13 @@ def daily_summary(activity: DataFrame) -> DataFrame:
     return figures.withColumn("buyer_rate", rates.rate_decimal(rate))
 
 
+def _same_day(figures: DataFrame, part: DataFrame) -> DataFrame:
+    """Left join by day; events without a date are a day of their own."""
+    renamed = part.withColumnRenamed("report_date", "_day")
+    same = F.col("report_date").eqNullSafe(F.col("_day"))
+    return figures.join(renamed, same, "left").drop("_day")
+
+
 def iso_now() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
@@ -76,11 +83,9 @@ def summary_rows(
         F.array_sort(F.collect_list(sortable)).alias("sorted")
     )
     figures = daily_summary(activity)
-    joined = (
-        figures.join(ids, "report_date", "left")
-        .join(top, "report_date", "left")
-        .join(categories, "report_date", "left")
-    )
+    joined = figures
+    for part in (ids, top, categories):
+        joined = _same_day(joined, part)
     no_ids = F.array().cast("array<string>")
 
     def segment(count: str, name: str) -> Column:
@@ -136,13 +141,6 @@ def product_rows(summaries: DataFrame) -> DataFrame:
     )
 
 
-def category_rows(summaries: DataFrame) -> DataFrame:
-    """The rows of the ``category_conversion`` table."""
-    return summaries.select(
-        "report_date", F.explode("categories").alias("entry")
-    ).select("report_date", "entry.*")
-
-
 def summary_json(summaries: DataFrame, pretty: bool = False) -> DataFrame:
     """Each summary as a JSON document; categories keep their order as its keys."""
     rates_by_category = F.map_from_entries(

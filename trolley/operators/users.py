@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley import schemas
 from trolley.functions.events import has_text, is_type
+from trolley.operators.ranking import first_of_group
 
 
 def user_activity(events: DataFrame) -> DataFrame:
@@ -75,15 +76,11 @@ def user_action_sets(events: DataFrame) -> DataFrame:
 def first_users(segments: DataFrame, size: int = 10) -> DataFrame:
     """The first users of each day and segment with their position.
 
-    The rank filter is applied on both sides of the shuffle, so each task sends
-    at most ``size`` users per day and segment.
+    For short samples the rank filter is applied on both sides of the shuffle, so each
+    task sends at most ``size`` users per day and segment.
     """
-    arrival = Window.partitionBy("report_date", "segment").orderBy(
-        F.asc_nulls_last("first_seen"), F.asc("user_id")
-    )
-    return segments.withColumn("position", F.row_number().over(arrival)).where(
-        F.col("position") <= size
-    )
+    arrival = (F.asc_nulls_last("first_seen"), F.asc("user_id"))
+    return first_of_group(segments, ["report_date", "segment"], arrival, "position", size)
 
 
 def ids_in_order(only: Column | None = None) -> Column:

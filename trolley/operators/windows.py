@@ -14,8 +14,8 @@ from trolley import schemas
 from trolley.functions.events import flag, is_type
 
 SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-# From this many windows per event on, counts are made per slide first.
-PRE_AGGREGATE_FROM = 3
+# From this many windows per event on, batch queries count per slide first by default.
+PER_SLIDE_FROM = 3
 
 
 def _seconds(duration: str) -> int | None:
@@ -53,8 +53,23 @@ def _flat(stats: DataFrame) -> DataFrame:
     )
 
 
+def _counts_per_slide(
+    events: DataFrame, window: str, slide: str, per_slide: bool | None
+) -> bool:
+    """What ``per_slide`` says, by default whether that saves rows."""
+    overlap = windows_per_event(window, slide)
+    if per_slide and (events.isStreaming or not overlap):
+        raise ValueError("counts per slide need a batch and a window of whole slides")
+    if per_slide is None:
+        return not events.isStreaming and (overlap or 0) >= PER_SLIDE_FROM
+    return per_slide
+
+
 def windowed_product_stats(
-    events: DataFrame, window: str = "10 minutes", slide: str = "5 minutes"
+    events: DataFrame,
+    window: str = "10 minutes",
+    slide: str = "5 minutes",
+    per_slide: bool | None = None,
 ) -> DataFrame:
     """Views, purchases and all events of each window and product.
 
@@ -62,11 +77,11 @@ def windowed_product_stats(
     no event of the group has a type. Products are taken as they are: NULL and
     '' are groups of their own.
 
-    Spark copies each event once per window it belongs to. If there are many,
-    a batch query counts per slide first and copies only these counts.
+    Spark copies each event once per window it belongs to. With ``per_slide`` a batch
+    query counts per slide first and copies only these counts; the result is the
+    same. By default it does so from PER_SLIDE_FROM windows per event on.
     """
-    overlap = windows_per_event(window, slide)
-    if not events.isStreaming and overlap and overlap >= PRE_AGGREGATE_FROM:
+    if _counts_per_slide(events, window, slide, per_slide):
         slots = events.groupBy(
             F.window("event_timestamp", slide).alias("slot"), "product_id"
         ).agg(*_counts())
@@ -90,13 +105,23 @@ def flash_sale_alerts(
 
 
 def sliding_window_counts(
-    events: DataFrame, window: str = "10 minutes", slide: str = "5 minutes"
+    events: DataFrame,
+    window: str = "10 minutes",
+    slide: str = "5 minutes",
+    per_slide: bool | None = None,
 ) -> DataFrame:
-    """All events of each window, whatever the product."""
+    """All events of each window, whatever the product; ``per_slide`` as above."""
+    if _counts_per_slide(events, window, slide, per_slide):
+        slots = events.groupBy(F.window("event_timestamp", slide).alias("slot")).agg(
+            F.count("*").alias("total_events")
+        )
+        in_window = F.window(F.col("slot.start"), window, slide).alias("window")
+        counted = slots.groupBy(in_window).agg(F.sum("total_events").alias("total_events"))
+    else:
+        in_window = F.window("event_timestamp", window, slide).alias("window")
+        counted = events.groupBy(in_window).agg(F.count("*").alias("total_events"))
     return (
-        events.groupBy(F.window("event_timestamp", window, slide).alias("window"))
-        .agg(F.count("*").alias("total_events"))
-        .select(
+        counted.select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
             "total_events",

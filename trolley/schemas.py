@@ -33,7 +33,6 @@ EVENT_FIELDS = (
 )
 EVENT_JSON = T.StructType([T.StructField(name, STRING) for name in EVENT_FIELDS])
 CORRUPT = "_corrupt_record"
-EVENT_JSON_CHECKED = T.StructType([*EVENT_JSON, T.StructField(CORRUPT, STRING)])
 
 # The form all operators take: the five strings, the parsed time and the day.
 EVENT = T.StructType(
@@ -185,11 +184,12 @@ FLASH_SALE_ALERTS = ServingTable(
         views=BIGINT,
         purchases=BIGINT,
         detected_at=TIMESTAMP,
-        window_date=T.DateType(),
+        window_hour=STRING,
     ),
-    key=("window_date", "window_start", "window_end", "product_id"),
+    key=("window_hour", "window_start", "window_end", "product_id"),
     updated=("views", "purchases"),
-    partition="window_date",
+    # By the hour, so that a trigger rewrites open windows and not the whole day.
+    partition="window_hour",
     stamp="detected_at",
     not_null=("window_start", "window_end", "product_id", "views", "purchases"),
     max_length=(("product_id", 50),),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trolley.settings import Settings
 
-LOCAL_SCRATCH = "trolley.scratch"
+JOB_SCRATCH = "trolley.scratch"
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "+00:00", "GMT", "UCT")
 ROCKSDB_STATE_STORE = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -48,9 +48,11 @@ def build_session(
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Dates and windows are cut in UTC whatever the session started with."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def require_utc(spark: SparkSession) -> SparkSession:
+    """Dates and windows are cut in UTC; a session in another zone would move them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone has to be UTC, not {zone}")
     return spark
 
 
@@ -60,27 +62,44 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder.
-
-    Only where the session names no such folder and runs on one machine, as in
-    unit tests, is a temporary one made, and then kept for the session.
-    """
-    folder = shared_folder(spark) or spark.conf.get(LOCAL_SCRATCH, None)
+    """A new path below the folder of the running job, or else the shared folder."""
+    folder = spark.conf.get(JOB_SCRATCH, None) or shared_folder(spark)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        folder = tempfile.mkdtemp(prefix="trolley-")
-        spark.conf.set(LOCAL_SCRATCH, folder)
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
     return f"{folder.rstrip('/')}/trolley/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any store; nothing if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for all that is staged in the block.
+
+    It is removed after the block and kept if that failed.
+    """
+    path = scratch_path(spark, "job")
+    before = spark.conf.get(JOB_SCRATCH, None)
+    spark.conf.set(JOB_SCRATCH, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(JOB_SCRATCH)
+        else:
+            spark.conf.set(JOB_SCRATCH, before)
+    remove(spark, path)
+
+
 @contextmanager
 def passing_scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """A scratch path that is removed after the block, unless that failed."""
     path = scratch_path(spark, name)
     yield path
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, path)
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

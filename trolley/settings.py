@@ -42,6 +42,9 @@ class Settings:
     purchases_threshold: int = 5
     alert_trigger: str = "30 seconds"
     history_trigger: str = "60 seconds"
+    history_files: int = 4
+    alerts_console: bool = False
+    console_rows: int = 20
     history_enabled: bool = True
     history_path: str | None = None
     history_checkpoint: str | None = None
@@ -72,7 +75,10 @@ class Settings:
             purchases_threshold=_whole_number(
                 env, "PURCHASES_THRESHOLD", cls.purchases_threshold
             ),
+            alerts_console=_flag(env, "ALERTS_CONSOLE", cls.alerts_console),
+            console_rows=_whole_number(env, "CONSOLE_ROWS", cls.console_rows),
             history_enabled=_flag(env, "ENABLE_PARQUET_SINK", cls.history_enabled),
+            history_files=_whole_number(env, "HISTORY_FILES", cls.history_files),
             history_path=env.get("PARQUET_OUTPUT_PATH"),
             history_checkpoint=env.get("PARQUET_CHECKPOINT_PATH"),
             raw_logs_path=env.get("RAW_LOGS_PATH"),

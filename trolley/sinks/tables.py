@@ -14,7 +14,7 @@ from trolley import schemas
 from trolley.operators.constraints import conform, constraint_violations
 from trolley.operators.merge import merge_upsert
 from trolley.schemas import ServingTable
-from trolley.session import passing_scratch, stage, written
+from trolley.session import passing_scratch, remove, scratch_path, stage, written
 from trolley.sources.serving import read_table, table_path
 
 logger = logging.getLogger(__name__)
@@ -74,11 +74,20 @@ def register_tables(
 
 
 def check(rows: DataFrame, table: ServingTable) -> None:
-    """Raise if rows break a rule of their table."""
-    found = constraint_violations(rows, table).take(SHOWN_VIOLATIONS)
-    if found:
-        listed = "; ".join(str(row.asDict()) for row in found)
-        raise ConstraintViolation(f"{table.name}: {listed}")
+    """Raise if rows break a rule of their table.
+
+    All that is wrong is written to the scratch folder; the error counts it, says where
+    it is and shows some of it.
+    """
+    found = constraint_violations(rows, table)
+    if found.isEmpty():
+        return
+    path = scratch_path(rows.sparkSession, f"{table.name}-violations")
+    kept = written(found, path)
+    listed = "; ".join(str(row.asDict()) for row in kept.take(SHOWN_VIOLATIONS))
+    raise ConstraintViolation(
+        f"{table.name}: {kept.count()} violations, all of them in {path}: {listed}"
+    )
 
 
 def staged(rows: DataFrame, table: ServingTable) -> DataFrame:
@@ -123,7 +132,8 @@ def upsert(
     are known. The list of days is all that reaches the driver. The merged days
     are staged before the old ones are replaced: if the last step fails, the
     staged folder is kept and ``publish`` can be run again from it.
-    ``replace_days`` drops stored rows without a new one.
+    ``replace_days`` drops stored rows without a new one; with ``days``, also
+    all rows of a day that has no new row at all.
     """
     spark = rows.sparkSession
     days = days_in(rows, table.partition) if days is None else list(days)
@@ -145,6 +155,9 @@ def upsert(
                 "%s: days may be incomplete, publish again from %s", table.name, path
             )
             raise
+    if replace_days:
+        for day in sorted({*days} - {*days_in(rows, table.partition)}):
+            remove(spark, f"{table_path(root, table)}/{table.partition}={day}")
 
 
 def upsert_all(
@@ -152,6 +165,7 @@ def upsert_all(
     root: str,
     now: Column | None = None,
     days: Sequence[date] | None = None,
+    replace_days: bool = False,
 ) -> None:
     """Upsert into several tables, touching none unless all rows are valid.
 
@@ -161,6 +175,8 @@ def upsert_all(
     """
     together(lambda table: check(batches[table], table), batches)
     together(
-        lambda table: upsert(conform(batches[table], table), root, table, now, days),
+        lambda table: upsert(
+            conform(batches[table], table), root, table, now, days, replace_days
+        ),
         batches,
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,9 @@ LOG_PREFIX = "clickstream_"
 LOG_SUFFIX = ".jsonl"
 ISO_DATE_LENGTH = 10
 
+logger = logging.getLogger(__name__)
+
+NAME = re.compile(rf"{LOG_PREFIX}(\d{{4}}-\d{{2}}-\d{{2}}){re.escape(LOG_SUFFIX)}")
 LINES = schemas.struct(value=schemas.STRING, event_date=T.DateType())
 
 
@@ -34,32 +38,42 @@ def report_day(requested: object | None = None) -> str:
     return str(requested)[:ISO_DATE_LENGTH]
 
 
-def daily_log_path(root: str, days: Sequence[str] | None = None) -> str:
-    """The path pattern of the logs of these days, of all days for None."""
-    names = "*" if days is None else "{" + ",".join(days) + "}"
-    if days is not None and len(days) == 1:
-        names = days[0]
-    return f"{root.rstrip('/')}/{LOG_PREFIX}{names}{LOG_SUFFIX}"
+def _logs_in(spark: SparkSession, root: str) -> dict[str, str]:
+    """Day and path of the daily logs in a folder; names without a date are left out."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{root.rstrip('/')}/{LOG_PREFIX}*{LOG_SUFFIX}"
+    )
+    store = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, str] = {}
+    for status in store.globStatus(pattern) or []:
+        path = status.getPath()
+        match = NAME.fullmatch(path.getName())
+        if match:
+            found[match[1]] = path.toString()
+        else:
+            logger.warning("%s has no date in its name and is not read", path.getName())
+    return found
 
 
 def _log_lines(
     spark: SparkSession, root: str, days: Sequence[str] | None
 ) -> DataFrame:
-    """Lines with the day of their file; none if no file is there."""
-    days = None if days is None else [report_day(day) for day in days]
-    try:
-        lines = spark.read.text(daily_log_path(root, days))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Lines with the day of their log; a day without a log is warned of."""
+    logs = _logs_in(spark, root)
+    if days is not None:
+        wanted = [report_day(day) for day in days]
+        for day in wanted:
+            if day not in logs:
+                logger.warning("there is no log of %s in %s", day, root)
+        logs = {day: logs[day] for day in wanted if day in logs}
+    elif not logs:
+        logger.warning("there are no daily logs in %s", root)
+    if not logs:
         return spark.createDataFrame([], LINES)
-    if days is not None and len(days) == 1:
-        day = F.lit(days[0]).cast("date")
-    else:
-        day = F.substring(
-            "_metadata.file_name", len(LOG_PREFIX) + 1, ISO_DATE_LENGTH
-        ).try_cast("date")
-    return lines.select("value", day.alias("event_date"))
+    # The log of a day may be a file or a folder of parts.
+    day = F.regexp_extract("_metadata.file_path", f"{NAME.pattern}(?:/|$)", 1)
+    lines = spark.read.option("recursiveFileLookup", True).text(sorted(logs.values()))
+    return lines.select("value", day.try_cast("date").alias("event_date"))
 
 
 def _good(parsed: DataFrame) -> DataFrame:
@@ -77,7 +91,7 @@ def _bad(parsed: DataFrame) -> DataFrame:
 def read_daily_logs(
     spark: SparkSession, root: str, days: Sequence[str] | None = None
 ) -> DataFrame:
-    """Events of the logs of ``days`` (all for None); missing files are no error.
+    """Events of the logs of ``days`` (all for None); a missing log is a warning.
 
     The day is that of the file name, also for events without a usable time.
     Malformed lines are left out here and found by ``malformed_lines``.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trolley import schemas
 from trolley.schemas import ServingTable
@@ -59,3 +60,23 @@ def conversion_trends(
             F.col("conversion_rate").cast("double").alias("conversion_rate"),
         )
     )
+
+
+def rejected_path(root: str) -> str:
+    return f"{root.rstrip('/')}/{schemas.FLASH_SALE_ALERTS.name}_rejected"
+
+
+def read_rejected_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """The newest row of each window and product that the alerts table does not take."""
+    rows = spark.read.parquet(rejected_path(root))
+    key = ("window_start", "window_end", "product_id")
+    values = F.struct("views", "purchases")
+    newest = rows.groupBy(*key).agg(F.max_by(values, "batch_id").alias("_newest"))
+    return newest.select(*key, "_newest.*")
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Closed windows; ``window_date``, their day, prunes what is read."""
+    folders = schemas.struct(window_date=T.DateType(), batch_id=schemas.BIGINT)
+    known = T.StructType([*schemas.WINDOWED_STATS, *folders])
+    return spark.read.schema(known).parquet(path).drop("batch_id")

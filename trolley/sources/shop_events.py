@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from trolley import schemas
 from trolley.functions.events import category_of_product
-from trolley.session import use_utc
+from trolley.session import require_utc
 
 EVENT_TABLE = schemas.struct(
     event_id=schemas.BIGINT,
@@ -66,12 +66,12 @@ def from_event_table(
 def read_shop_events(
     spark: SparkSession, sf_dir: str, event_types: Sequence[str] | None = None
 ) -> DataFrame:
-    table = use_utc(spark).read.schema(EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
+    table = require_utc(spark).read.schema(EVENT_TABLE).parquet(f"{sf_dir}/events.parquet")
     return from_event_table(table, event_types)
 
 
 def stream_shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A file stream takes a folder or a pattern; the table may be one file.
     path = f"{sf_dir}/events.[p]arquet"
-    table = use_utc(spark).readStream.schema(EVENT_TABLE).parquet(path)
+    table = require_utc(spark).readStream.schema(EVENT_TABLE).parquet(path)
     return from_event_table(table)

@@ -32,14 +32,8 @@ def start(
         return f"{folder.rstrip('/')}/{name}" if folder else None
 
     started = [
-        queries.start_console_alerts(alerts, settings, checkpoint("alerts_console"))
+        queries.start_alerts(alerts, settings, settings.tables_path, checkpoint("alerts"))
     ]
-    if settings.tables_path:
-        started.append(
-            queries.start_alert_table(
-                alerts, settings, settings.tables_path, checkpoint("alerts_table")
-            )
-        )
     if settings.history_enabled:
         started.append(
             queries.start_history(

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trolley.operators.constraints import conform, keeps_rules
-from trolley.schemas import FLASH_SALE_ALERTS
+from trolley.schemas import FLASH_SALE_ALERTS, WINDOWED_STATS
 from trolley.session import passing_scratch, written
 from trolley.settings import Settings
 from trolley.sinks.tables import create_tables, upsert
+from trolley.sources.serving import rejected_path
 
 Trigger = dict[str, Any]
 
@@ -25,18 +26,6 @@ def _writer(
     return writer.option("checkpointLocation", checkpoint) if checkpoint else writer
 
 
-def start_console_alerts(
-    alerts: DataFrame,
-    settings: Settings,
-    checkpoint: str | None = None,
-    trigger: Trigger | None = None,
-) -> StreamingQuery:
-    """Changed alerts on the console, untruncated."""
-    trigger = trigger or {"processingTime": settings.alert_trigger}
-    writer = _writer(alerts, "alerts_console", "update", checkpoint, trigger)
-    return writer.format("console").option("truncate", False).start()
-
-
 def start_history(
     history: DataFrame,
     settings: Settings,
@@ -44,44 +33,76 @@ def start_history(
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
-    """Closed windows as Parquet files."""
+    """Closed windows as Parquet files, in folders by day and batch.
+
+    A batch that runs again replaces its own folders. At most ``history_files`` tasks
+    write, so there are a few files of each day and not one per state partition. ``sources.serving.read_history`` reads them.
+    """
+    empty = history.sparkSession.createDataFrame([], WINDOWED_STATS)
+    empty.write.mode("ignore").parquet(path)
+
+    def store(batch: DataFrame, number: int) -> None:
+        (
+            batch.withColumn("window_date", F.to_date("window_start"))
+            .withColumn("batch_id", F.lit(number))
+            .coalesce(settings.history_files)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("window_date", "batch_id")
+            .parquet(path)
+        )
+
     trigger = trigger or {"processingTime": settings.history_trigger}
     writer = _writer(history, "stats_history", "append", checkpoint, trigger)
-    return writer.format("parquet").option("path", path).start()
+    return writer.foreachBatch(store).start()
 
 
-def store_alerts(alerts: DataFrame, root: str) -> None:
+def store_alerts(alerts: DataFrame, root: str, batch_id: int = 0) -> None:
     """Merge alerts into their table; ``detected_at`` stays that of the first.
 
     The stream knows events without product, the table takes none. Such rows
-    must not stop the stream: they are kept next to the table, once per attempt.
+    must not stop the stream: they are kept next to the table in a folder of their batch,
+    which a repeated batch replaces. ``sources.serving.read_rejected_alerts``
+    gives the newest of each window.
     """
-    dated = alerts.withColumn("window_date", F.to_date("window_start"))
+    hour = F.date_format("window_start", "yyyy-MM-dd-HH")
     valid = keeps_rules(FLASH_SALE_ALERTS)
     with passing_scratch(alerts.sparkSession, "alerts") as path:
-        rows = written(dated, path)
+        rows = written(alerts.withColumn("window_hour", hour), path)
         rejected = rows.where(~valid)
         if not rejected.isEmpty():
-            rejected.write.mode("append").parquet(
-                f"{root.rstrip('/')}/{FLASH_SALE_ALERTS.name}_rejected"
+            rejected.write.mode("overwrite").parquet(
+                f"{rejected_path(root)}/batch_id={batch_id}"
             )
         stored = conform(rows.where(valid), FLASH_SALE_ALERTS)
         upsert(stored, root, FLASH_SALE_ALERTS)
 
 
-def start_alert_table(
+def start_alerts(
     alerts: DataFrame,
     settings: Settings,
-    root: str,
+    root: str | None = None,
     checkpoint: str | None = None,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
-    """Alerts into the ``flash_sale_alerts`` table.
+    """Changed alerts into the ``flash_sale_alerts`` table, or onto the console.
 
     Keyed by window and product: a batch that runs again after a failure, or an
-    alert that comes again, changes its row and adds none.
+    alert that comes again, changes its row and adds none. Without a table, or if
+    the settings ask for it, the first ``console_rows`` of each batch are shown
+    in full width, with their number; one query serves both.
     """
-    create_tables(alerts.sparkSession, root, [FLASH_SALE_ALERTS])
+    if root:
+        create_tables(alerts.sparkSession, root, [FLASH_SALE_ALERTS])
+    shown = settings.alerts_console or not root
+
+    def take(batch: DataFrame, number: int) -> None:
+        if root:
+            store_alerts(batch, root, number)
+        if shown:
+            print(f"batch {number}: {batch.count()} changed alerts")
+            batch.orderBy("window_start", "product_id").show(settings.console_rows, False)
+
     trigger = trigger or {"processingTime": settings.alert_trigger}
-    writer = _writer(alerts, "alerts_table", "update", checkpoint, trigger)
-    return writer.foreachBatch(lambda batch, _: store_alerts(batch, root)).start()
+    writer = _writer(alerts, "alerts", "update", checkpoint, trigger)
+    return writer.foreachBatch(take).start()
