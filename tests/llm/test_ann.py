@@ -48,7 +48,7 @@ def found(spark, rows, most=10, **options):
     return out
 
 
-@pytest.mark.parametrize("block", [4096, 16])
+@pytest.mark.parametrize("block", [1024, 16])
 def test_all_buckets_give_the_exact_result(spark, monkeypatch, block):
     monkeypatch.setattr(ann, "BLOCK", block)
     rows = vectors()

@@ -35,7 +35,7 @@ TABLES = 8
 HASHES = 3
 WIDTH = 0.8
 PROBES = 20
-BLOCK = 4096
+BLOCK = 1024
 _SEED = 11
 
 
