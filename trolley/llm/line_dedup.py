@@ -7,7 +7,7 @@
 3. Documents send the hashes of their lines, packed by shard, to the arrays and get back
    the places of the lines to drop. Lines that make up more than one in HOT_PARTS of all
    lines are fewer than HOT_PARTS; their arrays go to every task, so that
-   no shard receives more than its even share of lines.
+   no shard receives more than its even share of lines to look up.
 4. Texts meet their places once and are put together again.
 
 A null text is one empty line. A document without id counts as one with the largest
@@ -22,10 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.shared import slices, text_of, written
+from trolley.llm.shared import slices, text_of
 
 HOT_PARTS = 20_000
 LINES_PER_SHARD = 100_000
@@ -250,7 +251,8 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         if name in docs.columns:
             raise ValueError(f"{name} is a column of the table already")
     spark = docs.sparkSession
-    repeated = written(repeated_lines(docs), "repeated-lines")
+    # Three jobs read it; what is lost with an executor is computed again.
+    repeated = repeated_lines(docs).persist(StorageLevel.DISK_ONLY)
     occurrences = repeated.agg(F.sum("n")).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-occurrences // LINES_PER_SHARD))
     is_hot = F.col("n") > F.lit(occurrences / HOT_PARTS)
@@ -263,73 +265,46 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         return pd.DataFrame({"shard": [int(frame["shard"].iloc[0])], "arrays": [index]})
 
     by_shard = F.pmod(F.shiftrightunsigned("h1", 32), F.lit(shards)).cast("int")
-    index = written(
+    index = (
         repeated.where(~is_hot)
         .withColumn("shard", by_shard)
         .groupBy("shard")
-        .applyInPandas(build, "shard int, arrays binary"),
-        "line-index",
+        .applyInPandas(build, "shard int, arrays binary")
     )
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Lines to drop by the hot arrays at once, the others packed by shard."""
+        """Lines packed by shard; those that the hot arrays drop go to shards below zero."""
         own = LineIndex.unpacked(hot.value)
         for frame in frames:
             for part in slices(frame):
                 probes = _probes(part)
-                drop = own.dropped(probes)
-                yield _answers(probes[drop])
-                probes = probes[~drop]
                 to = _shard(probes["h1"], shards).astype(np.int64)
+                drop = own.dropped(probes)
+                to[drop] = -1 - probes["row"][drop] % shards
                 order = np.argsort(to, kind="stable")
-                to, probes = to[order], probes[order]
-                firsts = np.flatnonzero(np.diff(to, prepend=-1))
-                pieces = np.split(probes, firsts[1:]) if len(to) else []
-                yield pd.DataFrame(
-                    {
-                        "shard": to[firsts],
-                        "probes": [_packed_columns(p) for p in pieces],
-                        "doc": pd.array([None] * len(firsts), "Int64"),
-                        "row": pd.array([None] * len(firsts), "Int64"),
-                        "line": pd.array([None] * len(firsts), "Int32"),
-                    }
-                )
-
-    def _answers(probes: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "shard": pd.array([None] * len(probes), "Int32"),
-                "probes": pd.Series([None] * len(probes), dtype=object),
-                "doc": probes["doc"],
-                "row": probes["row"],
-                "line": probes["line"],
-            }
-        )
+                occurring, firsts = np.unique(to[order], return_index=True)
+                pieces = np.split(probes[order], firsts[1:])
+                if len(to):
+                    yield pd.DataFrame(
+                        {"shard": occurring, "probes": [_packed_columns(p) for p in pieces]}
+                    )
 
     def probe(sent: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros(0, _PROBE)]
-        if len(arrays):
-            own = LineIndex.unpacked(arrays["arrays"].iloc[0])
-            for data in sent["probes"]:
-                probes = _unpacked_columns(data)
-                found.append(probes[own.dropped(probes)])
+        decided = len(sent) > 0 and sent["shard"].iloc[0] < 0
+        own = LineIndex.unpacked(arrays["arrays"].iloc[0]) if len(arrays) else None
+        for data in sent["probes"] if decided or own else ():
+            probes = _unpacked_columns(data)
+            found.append(probes if decided else probes[own.dropped(probes)])
         hits = np.concatenate(found)
         return pd.DataFrame({name: hits[name] for name in ("doc", "row", "line")})
 
     texts = docs.select(*_row_key("doc_id", text_of()), text_of().alias("text"))
-    sent = written(
-        texts.mapInPandas(send, "shard int, probes binary, doc bigint, row bigint, line int"),
-        "line-probes",
-    )
-    cold = (
-        sent.where(F.col("shard").isNotNull())
-        .select("shard", "probes")
+    drops = (
+        texts.mapInPandas(send, "shard int, probes binary")
         .groupBy("shard")
         .cogroup(index.groupBy("shard"))
         .applyInPandas(probe, "doc bigint, row bigint, line int")
-    )
-    drops = (
-        cold.unionByName(sent.where(F.col("shard").isNull()).select("doc", "row", "line"))
         .groupBy("doc", "row")
         .agg(F.sort_array(F.collect_set("line")).alias("lines"))
     )
