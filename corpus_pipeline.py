@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from trolley.llm import bpe, decontam, line_dedup, quality, simhash
 from trolley.llm.queries import TOKENIZER, _learning_labels
-from trolley.llm.shared import read_table, work_path
+from trolley.llm.shared import read_table, shipped, work_path
 
 QUALITY_SCORE = "quality_score_of_stage"
 
 
+@shipped
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; it learns as its query does."""
     labels = _learning_labels(spark, sf_dir, "quality")
@@ -26,21 +27,25 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return scored.where(F.col(QUALITY_SCORE) >= 0.3).drop(QUALITY_SCORE)
 
 
+@shipped
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that another one with a smaller id holds."""
     return line_dedup.drop_repeated_lines(docs).select(*docs.columns)
 
 
+@shipped
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near copies."""
     return simhash.first_of_each_group(docs, 3, 3)
 
 
+@shipped
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontam.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of what is left."""
     encoded = bpe.encoded(docs, public_tokenizers.path(TOKENIZER))

@@ -9,7 +9,7 @@ import public_tokenizers
 
 from trolley.llm import ann, bpe, ctw, decontam, langid, line_dedup, quality
 from trolley.llm import secret_scan, simhash, toxicity
-from trolley.llm.shared import fold, read_table, written
+from trolley.llm.shared import fold, read_table, shipped, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -125,7 +125,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
-    query.__name__: query
+    query.__name__: shipped(query)
     for query in (
         op1_quality_classifier,
         op2_line_dedup,

@@ -5,9 +5,13 @@ A null text is an empty text throughout, unless an operator says otherwise.
 
 from __future__ import annotations
 
+import functools
+import io
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -50,6 +54,50 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_file(spark: SparkSession, content: bytes, name: str) -> str:
+    """Write a small file into the shared folder and return where it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{work_path(spark, 'file')}-{name}")
+    with tempfile.NamedTemporaryFile() as file:  # of the driver, until it is copied
+        file.write(content)
+        file.flush()
+        source = spark._jvm.org.apache.hadoop.fs.Path(f"file://{file.name}")
+        store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(target.getParent())
+        store.copyFromLocalFile(False, True, source, target)
+    return target.toString()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors once, as ``--py-files`` would.
+
+    Their Python workers import it, wherever the driver was started.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(shared_file(spark, packed.getvalue(), "package.zip"))
+    _shipped.add(application)
+
+
+def shipped(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage, whose first argument is the session, that ships the package."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, *arguments) -> DataFrame:
+        ship_package(spark)
+        return step(spark, *arguments)
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
