@@ -97,7 +97,7 @@ def test_known_and_unseen_words(vocabulary, tmp_path):
 def test_documents(make_docs, library):
     rows = [(i, text) for i, text in enumerate(some_texts(60, 4))]
     rows += [(100, None), (101, ""), (None, "no id"), (3, "repeated id"), (102, "long text " * 50_000)]
-    for most in (10, bpe.FREQUENT_WORDS):
+    for most in (0, 10, bpe.FREQUENT_WORDS):
         found = bpe.encoded(make_docs(*rows, parts=3), PATH, most).collect()
         expected = []
         for i, text in rows:
@@ -110,4 +110,4 @@ def test_documents(make_docs, library):
 def test_frequent_words(make_docs):
     docs = make_docs((1, "the the the, a a b"), (2, "the A c"), parts=2)
     assert bpe.frequent_words(docs, PATH, 9)[:2] == ["the", "a"]
-    assert len(bpe.frequent_words(docs, PATH, 2)) == 2
+    assert set(bpe.frequent_words(docs, PATH, 3)) <= {"the", "a"}

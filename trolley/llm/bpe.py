@@ -19,7 +19,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -29,14 +28,16 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import regex
-from pyspark import SparkFiles
+from pyspark import SparkFiles, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trolley.llm.shared import slices, text_of, work_path
+from trolley.llm.shared import shared_file, slices, text_of
 
-FREQUENT_WORDS = 1 << 17
+FREQUENT_WORDS = 1 << 16
+#: Steps of the histogram of counts for each doubling.
+STEPS = 16
 #: Distinct words that a task counts at once.
 COUNTED = 500_000
 _NONE = 1 << 30
@@ -321,8 +322,9 @@ def frequent_words(
 ) -> list[str]:
     """The pieces of what stands most often between blanks in all texts, ``most`` at most.
 
-    Every task counts all of its texts and sends what is most frequent; Spark adds
-    up, and only the sum's first ``most`` reach the driver, which splits them into words.
+    Every task counts all of its texts and sends what is most frequent; Spark adds up. A
+    histogram of the logarithms of the counts tells from which count on there are
+    at most ``most`` rows, and only these reach the driver, which splits them into words.
     """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -334,20 +336,28 @@ def frequent_words(
                 if len(counts) > COUNTED:
                     counts = Counter(dict(counts.most_common(COUNTED // 2)))
         best = counts.most_common(most)
-        yield pd.DataFrame({"word": [w for w, _ in best], "n": [n for _, n in best]})
+        if best:
+            yield pd.DataFrame({"word": [w for w, _ in best], "n": [n for _, n in best]})
 
     rows = (
         docs.select(text_of().alias("text"))
         .mapInPandas(count, "word string, n bigint")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(most)
+        .withColumn("step", F.floor(F.log2("n") * STEPS))
+        .persist(StorageLevel.DISK_ONLY)  # what is lost with an executor is counted again
     )
+    left, least = most, None
+    for step, n in sorted(map(tuple, rows.groupBy("step").count().collect()), reverse=True):
+        if n > left:
+            break
+        left, least = left - n, step
     words, vocabulary = Counter(), vocabulary_of(path)
-    for row in rows.collect():
-        for word in vocabulary.words(row.word):
-            words[word] += row.n
+    if least is not None:
+        for row in rows.where(F.col("step") >= least).collect():
+            for word in vocabulary.words(row.word):
+                words[word] += row.n
+    rows.unpersist()
     return [word for word, _ in words.most_common(most)]
 
 
@@ -356,17 +366,10 @@ def shared_lexicon(spark: SparkSession, words: list[str], path: str) -> str:
 
     Returns its name. Spark fetches it on every executor, on new ones as well.
     """
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{work_path(spark, 'lexicon')}.bin")
-    name = target.getName()
-    with tempfile.NamedTemporaryFile() as file:  # of the driver, until it is copied
-        file.write(Lexicon.content(words, vocabulary_of(path)))
-        file.flush()
-        source = spark._jvm.org.apache.hadoop.fs.Path(f"file://{file.name}")
-        store = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        store.mkdirs(target.getParent())
-        store.copyFromLocalFile(False, True, source, target)
-    spark.sparkContext.addFile(target.toString())
-    return name
+    content = Lexicon.content(words, vocabulary_of(path))
+    place = shared_file(spark, content, "lexicon.bin")
+    spark.sparkContext.addFile(place)
+    return place.rsplit("/", 1)[1]
 
 
 class Encoder:
