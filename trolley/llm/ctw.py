@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.shared import slices, text_of, work_path, written
+from trolley.llm.shared import slices, text_of, written
 
 DEPTH = 4
 BLOCK_CHARS = 6 << 20
@@ -48,13 +49,24 @@ END_WORD = b""  # no word is empty, so this one stands for the end of a text
 # --- counts of a block ------------------------------------------------------------
 
 
-def _runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _packed(texts: list[str]) -> tuple[bytes, list[int]]:
+    """Texts as compressed bytes, with their sizes."""
+    data = [text.encode("utf-8", "surrogatepass") for text in texts]
+    return zstandard.ZstdCompressor(level=6).compress(b"".join(data)), list(map(len, data))
+
+
+def _unpacked(packed: bytes, sizes: np.ndarray) -> list[bytes]:
+    whole = zstandard.ZstdDecompressor().decompress(packed)
+    ends = np.cumsum(sizes).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _runs(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct runs of DEPTH + 1 bytes, sorted; where each one starts in the order of
     all runs; the text of each run in that order.
 
     A run's number is its bytes, the predicted one last.
     """
-    data = [text.encode("utf-8", "surrogatepass") for text in texts]
     pad, end = bytes([END]) * DEPTH, bytes([END])
     whole = b"".join([*[pad + d + end for d in data], bytes(8)])
     sizes = np.fromiter(map(len, data), np.int64, len(data)) + DEPTH + 1
@@ -81,12 +93,12 @@ class _Numbers(dict):
         return number
 
 
-def _words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _words(data: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the word of each token, the tokens of each text; the end is one."""
     number = _Numbers()
     codes = []
-    for text in texts:
-        words = text.encode("utf-8", "surrogatepass").lower().split()
+    for text in data:
+        words = text.lower().split()
         words.append(END_WORD)
         codes.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
     sizes = np.fromiter(map(len, codes), np.int64, len(codes))
@@ -229,16 +241,18 @@ def log_probabilities(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
 
 
 def text_blocks(docs: DataFrame, is_training: Column) -> DataFrame:
-    """(block, doc_id, training, text): rows of several whole texts as arrays, written."""
+    """(block, doc_id, training, sizes, packed): rows of several whole texts, written."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part in slices(frame, chars=BLOCK_CHARS):
+                packed, sizes = _packed(part["text"].tolist())
                 yield pd.DataFrame(
                     {
                         "doc_id": [part["doc_id"].astype("Int64").tolist()],
                         "training": [part["training"].tolist()],
-                        "text": [part["text"].tolist()],
+                        "sizes": [sizes],
+                        "packed": [packed],
                     }
                 )
 
@@ -248,22 +262,23 @@ def text_blocks(docs: DataFrame, is_training: Column) -> DataFrame:
         text_of().alias("text"),
     )
     packed = rows.mapInPandas(
-        pack, "doc_id array<bigint>, training array<boolean>, text array<string>"
-    ).withColumn("block", F.monotonically_increasing_id())
+        pack,
+        "doc_id array<bigint>, training array<boolean>, sizes array<int>, packed binary",
+    )
     # Once written, the numbers and the rows of the blocks stay as they are.
-    path = work_path(docs.sparkSession, "text-blocks")
-    packed.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(packed.schema).parquet(path)
+    return written(
+        packed.withColumn("block", F.monotonically_increasing_id()), "text-blocks"
+    )
 
 
-def _run_counts(texts: list[str], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, first, owner = _runs(texts)
+def _run_counts(data: list[bytes], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, first, owner = _runs(data)
     weight = training.astype(np.int64)[owner]
     return keys, np.add.reduceat(weight, first) if len(first) else weight
 
 
-def _word_counts(texts: list[str], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words, every, sizes = _words(texts)
+def _word_counts(data: list[bytes], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    words, every, sizes = _words(data)
     weight = np.repeat(training, sizes)
     return _digests(words), np.bincount(every[weight], minlength=len(words))
 
@@ -273,8 +288,10 @@ def _sender(counts_of, shard_of, shards: int):
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for block, training, texts in zip(frame["block"], frame["training"], frame["text"]):
-                keys, counts = counts_of(list(texts), np.asarray(training, bool))
+            for row in frame.itertuples():
+                block = row.block
+                data = _unpacked(row.packed, row.sizes)
+                keys, counts = counts_of(data, np.asarray(row.training, bool))
                 counts = counts.astype("<i8")
                 _, occurring, places = _dealt(shard_of(keys, shards))
                 yield pd.DataFrame(
@@ -352,7 +369,8 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     blocks = text_blocks(docs, is_training)
     shards = max(LEAST_SHARDS, blocks.count())
 
-    words = blocks.select("block", "training", "text").mapInPandas(
+    contents = blocks.select("block", "training", "sizes", "packed")
+    words = contents.mapInPandas(
         _sender(_word_counts, _word_shard, shards), SENT
     )
     word_replies = written(
@@ -366,7 +384,7 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     distinct, tokens = sums["known"] or 0, sums["tokens"] or 0
 
     runs = written(
-        blocks.select("block", "training", "text").mapInPandas(_sender(_run_counts, _run_shard, shards), SENT),
+        contents.mapInPandas(_sender(_run_counts, _run_shard, shards), SENT),
         "byte-runs",
     )
     above = (
@@ -394,14 +412,15 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     )
 
     def add_up(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        texts, ids = list(block["text"].iloc[0]), block["doc_id"].iloc[0]
-        n = len(texts)
-        keys, first, owner = _runs(texts)
+        ids = block["doc_id"].iloc[0]
+        data = _unpacked(block["packed"].iloc[0], block["sizes"].iloc[0])
+        n = len(data)
+        keys, first, owner = _runs(data)
         log_p = _answers(got[~got["of_words"]], _run_shard(keys, shards), "<f8")
         each = np.repeat(log_p, np.diff(np.append(first, len(owner))))
         score = np.bincount(owner, weights=each, minlength=n) / LN10
         n_bytes = np.bincount(owner, minlength=n) - 1
-        words, every, n_tokens = _words(texts)
+        words, every, n_tokens = _words(data)
         shard = _word_shard(_digests(words), shards)
         count = _answers(got[got["of_words"]], shard, "<i8").astype(float)
         cut = np.cumsum(n_tokens) - n_tokens
@@ -421,7 +440,7 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
         )
 
     return (
-        blocks.select("block", "doc_id", "text")
+        blocks.select("block", "doc_id", "sizes", "packed")
         .groupBy("block")
         .cogroup(replies.groupBy("block"))
         .applyInPandas(
