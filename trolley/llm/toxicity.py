@@ -7,7 +7,8 @@ learned from them through the noisy-or, and then locate the offending sentences.
 
 Spark counts, for hashed words, the labelled documents of both classes that hold them; the words
 whose counts differ most are the vocabulary. The weights are fitted on a bounded
-sample (MOST_DOCUMENTS) of the labelled documents. Null and empty texts have no
+sample (MOST_DOCUMENTS) of the labelled documents; of several labels of one id the largest
+counts. Null and empty texts have no
 sentence and score the leak. Without labels of both classes every score is the share of
 label 1, or 0.5. Rows are scored each for itself; other columns are not looked at.
 """
@@ -137,9 +138,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> SentenceModel:
     known = labels.where(F.col("label").isin(0, 1)).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("label").cast("int").alias("label")
     )
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     known = bounded_sample(known, "doc_id", MOST_DOCUMENTS)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    rows = texts.join(known, "doc_id").select("text", "label")
+    # About MOST_DOCUMENTS ids at most, each once, so texts need not be shuffled.
+    rows = texts.join(F.broadcast(known), "doc_id").select("text", "label")
     holders = rows.mapInPandas(_holders, "label int, place int, n bigint")
     by_place = (
         holders.groupBy("place")
