@@ -90,3 +90,43 @@ def test_few_rows_and_none(spark):
     assert near[0] == [(20, 0.5), (21, 0.5)]
     assert found(spark, rows[:1]) == {}
     assert found(spark, [(1, None)]) == {}
+
+
+def skewed(kind, n=6000, size=16):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "one long":
+        x[7] *= 100
+    elif kind == "log-normal":
+        x *= np.exp(rng.normal(size=(n, 1)))
+    return [(i, [float(np.float32(v)) for v in row]) for i, row in enumerate(x)]
+
+
+def check_recall(near, rows, asked, most=20):
+    x, hits = np.array([v for _, v in rows]), 0
+    for q in asked:
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        assert len(near[q]) == most
+        hits += len({i for i, _ in near[q]} & set(np.argsort(-scores)[:most].tolist()))
+    return hits / most / len(asked)
+
+
+@pytest.mark.parametrize("kind", ["unit", "one long", "log-normal"])
+def test_recall_and_number_with_skewed_norms(spark, kind):
+    rows = skewed(kind)
+    assert check_recall(found(spark, rows, 20), rows, range(0, 6000, 20)) > 0.85
+
+
+@pytest.mark.parametrize("kind", ["one long", "log-normal"])
+def test_small_tables_are_exact(spark, kind):
+    rows = skewed(kind, 500, 64)
+    assert check_recall(found(spark, rows, 20), rows, range(0, 500, 20)) == 1
+
+
+def test_queries_whose_buckets_are_empty_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    rows = skewed("unit", 500, 64)
+    near = found(spark, rows, 20, tables=1, hashes=12, width=0.1, probes=1)
+    assert check_recall(near, rows, range(0, 500, 20)) == 1

@@ -1,16 +1,21 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Largest inner products are nearest neighbours by Euclidean distance after one more
-component brings all vectors to the largest norm and the queries to the sphere. Each
+component brings all vectors to the largest norm and the queries to the sphere. The index is
+cut into ranges of norms, a factor of two each, and every range has its own largest norm,
+so that a few long vectors do not crowd all others into the same cells. Each
 table hashes with several p-stable (Gaussian) projections cut into cells. A query visits
 its own bucket and perturbed ones, in the order of estimated success: the squared
 distances to the cell borders that have to be crossed, summed. In each bucket the exact
 products are computed in double precision, and the best of all tables are merged.
 
+A range of at most BLOCK rows is one bucket that every query visits. Queries that have
+found fewer than asked for, although there are more ids, are compared with all rows.
+
 A bucket is cut into blocks of at most BLOCK vectors; every block keeps its own best, so
 a bucket may hold a third of all rows without going to one task, and none of its rows
 is left out. Every row with a usable vector is indexed; projections come from
-a fixed seed, so nothing is fitted but the largest norm.
+a fixed seed, so nothing is fitted but the largest norms.
 
 Vectors that are null, empty, zero, of another length than most have, or that hold null
 or non-finite components take no part, and ids that are null do neither. Rows that
@@ -21,8 +26,8 @@ go to the smaller id. Other columns are not looked at.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -36,6 +41,7 @@ HASHES = 3
 WIDTH = 0.8
 PROBES = 20
 BLOCK = 1024
+FOUND = "query_id bigint, vec_id bigint, score double"
 _SEED = 11
 
 
@@ -69,7 +75,8 @@ class Hashing:
 
     def probed(self, x: np.ndarray, probes: int = PROBES) -> np.ndarray:
         """The cells that queries visit: row, table, probe, hash; best guess first."""
-        unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        unit = x / np.abs(x).max(axis=1, keepdims=True)  # squares of tiny values are zero
+        unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
         place = self._cells(np.column_stack([unit, np.zeros(len(x))]))
         home = np.floor(place)
         below = place - home  # distance to the lower border, in cells
@@ -130,7 +137,7 @@ def _perturbations(hashes: int, probes: int) -> list[tuple[int, ...]]:
 
 
 def _bucket(cells: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """One number for table and cells; equal cells have equal numbers."""
+    """One number for table (of a range) and cells; equal cells have equal numbers."""
     value = table.astype(np.uint64) + np.uint64(1)
     for hash_ in range(cells.shape[-1]):
         value = (value ^ cells[..., hash_].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -157,6 +164,25 @@ def usable_vectors(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("x") == F.lit(first.size if first else -1))
 
 
+def _norm(x: Column) -> Column:
+    """Length of a vector, by its largest component, so that no square is lost."""
+    large = F.array_max(F.transform(x, lambda v: F.abs(v.cast("double"))))
+    squares = F.aggregate(
+        x, F.lit(0.0), lambda acc, v: acc + (v.cast("double") / large) * (v.cast("double") / large)
+    )
+    return F.least(large * F.sqrt(squares), F.lit(np.finfo(float).max.item()))
+
+
+def _whole(number: int) -> int:
+    """The bucket of all rows of a range."""
+    return int(_bucket(np.array([[number]], np.int64), np.array([2**40]))[0])
+
+
+def _tables(table_of: np.ndarray, number: int) -> np.ndarray:
+    """Tables of a range, numbered apart from those of others."""
+    return table_of + (int(number) + 2**15) * len(table_of)
+
+
 def _matrix(values: pd.Series) -> np.ndarray:
     return np.array(values.tolist(), float).reshape(len(values), -1)
 
@@ -169,13 +195,14 @@ def _best(
     A fast product finds the rows that may be among them; these are computed
     again one by one, so that equal vectors have equal products.
     """
+    longest = np.sqrt((x * x).sum(axis=1).max())
     for start in range(0, len(own), 1024):
         part = slice(start, start + 1024)
         rough = queries[part] @ x.T
         rough[own[part][:, None] == ids[None, :]] = -np.inf
         keep = min(most, rough.shape[1])
         limit = np.partition(rough, -keep, axis=1)[:, -keep]
-        limit = limit - 1e-9 * np.maximum(1.0, np.abs(limit))
+        limit = limit - 1e-12 * np.sqrt((queries[part] ** 2).sum(axis=1)) * longest
         for row, number in enumerate(own[part].tolist()):
             near = np.flatnonzero((rough[row] >= limit[row]) & (rough[row] > -np.inf))
             exact = (x[near] * queries[start + row]).sum(axis=1)
@@ -192,37 +219,56 @@ def nearest(
     ``is_query`` is a condition on vec_id. A query never finds rows of its own id.
     """
     spark = vectors.sparkSession
-    schema = "query_id bigint, vec_id bigint, score double"
-    rows = written(usable_vectors(vectors), "vectors")
-    kind = rows.schema["x"].dataType.simpleString()
-    norm = F.sqrt(
-        F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double"))
+    usable_rows = usable_vectors(vectors).withColumn("norm", _norm(F.col("x")))
+    # Norms of one length, such as 1, are in the middle of a range.
+    rows = written(
+        usable_rows.withColumn("range", F.floor(F.log2("norm") + 0.5).cast("int")), "vectors"
     )
-    known = rows.agg(F.max(norm).alias("norm"), F.first(F.size("x")).alias("size")).first()
-    hashing = Hashing.make(known["size"] or 1, known["norm"] or 1.0, tables, hashes, width)
-    held = spark.sparkContext.broadcast(hashing)
+    kind = rows.schema["x"].dataType.simpleString()
+    # As many ranges as there are exponents at most.
+    known = rows.groupBy("range").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("norm").alias("norm"),
+        F.first(F.size("x")).alias("size"),
+    ).orderBy("range").collect()
+    base = Hashing.make(known[0]["size"] if known else 1, 1.0, tables, hashes, width)
+    hashings = {
+        r["range"]: replace(base, largest=r["norm"]) for r in known if r["rows"] > BLOCK
+    }
+    whole = {r["range"]: _whole(r["range"]) for r in known if r["rows"] <= BLOCK}
+    held = spark.sparkContext.broadcast((base, hashings))
     table_of = np.arange(tables)
 
     def stored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if not len(frame):
-                continue
-            buckets = _bucket(held.value.stored(_matrix(frame["x"])), table_of[None, :])
-            yield pd.DataFrame(
-                {
-                    "bucket": buckets.ravel(),
-                    "vec_id": np.repeat(frame["vec_id"].to_numpy(), tables),
-                    "x": [x for x in frame["x"] for _ in range(tables)],
-                }
-            )
+            for number, part in frame.groupby("range"):
+                if number in whole:
+                    buckets = np.full((len(part), 1), whole[number])
+                else:
+                    cells = held.value[1][number].stored(_matrix(part["x"]))
+                    buckets = _bucket(cells, _tables(table_of, number)[None, :])
+                each = buckets.shape[1]
+                yield pd.DataFrame(
+                    {
+                        "bucket": buckets.ravel(),
+                        "vec_id": np.repeat(part["vec_id"].to_numpy(), each),
+                        "x": [x for x in part["x"] for _ in range(each)],
+                    }
+                )
 
     def probing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base, hashings = held.value
         for frame in frames:
             for start in range(0, len(frame), 500):
                 part = frame.iloc[start : start + 500]
-                cells = held.value.probed(_matrix(part["x"]), probes)
-                buckets = _bucket(cells, table_of[None, :, None])
-                each = buckets.shape[1] * buckets.shape[2]
+                buckets = np.tile(np.array([*whole.values()], np.int64), (len(part), 1))
+                if hashings:
+                    cells = base.probed(_matrix(part["x"]), probes)
+                    ranged = [
+                        _bucket(cells, _tables(table_of, n)[None, :, None]).reshape(len(part), -1)
+                        for n in hashings
+                    ]
+                    buckets = np.column_stack([buckets, *ranged])
+                each = buckets.shape[1]
                 out = pd.DataFrame(
                     {
                         "bucket": buckets.ravel(),
@@ -252,6 +298,51 @@ def nearest(
         .selectExpr("bucket", "explode(sequence(0, blocks - 1)) AS block", "query_id", "x")
     )
 
+    found = (
+        visits.groupBy("bucket", "block")
+        .cogroup(index.groupBy("bucket", "block"))
+        .applyInPandas(_comparing(most), FOUND)
+    )
+    ranked = written(_ranked(found, most), "neighbours")
+    # Those that found nothing are not among the ranked ones.
+    there = min(most, rows.select("vec_id").distinct().limit(most + 1).count() - 1)
+    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id")).distinct()
+    counts = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    short = written(
+        asked.join(counts, "query_id", "left")
+        .where(F.coalesce("n", F.lit(0)) < F.lit(there))
+        .select("query_id"),
+        "short-queries",
+    )
+    if short.isEmpty():
+        return ranked
+    rest = _against_all(rows, short, most)
+    return ranked.join(short, "query_id", "left_anti").unionByName(rest)
+
+
+def _against_all(rows: DataFrame, short: DataFrame, most: int) -> DataFrame:
+    """The exact nearest of the queries in ``short``: every block of them meets every block of rows."""
+    ids = short.select(F.col("query_id").alias("vec_id"))
+    queries = written(rows.join(ids, "vec_id", "left_semi").select("vec_id", "x"), "short-vectors")
+    row_blocks, query_blocks = (max(1, -(-df.count() // BLOCK)) for df in (rows, queries))
+
+    def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
+        # By place, as ids may repeat.
+        return df.withColumn(own, (F.rand(_SEED) * parts).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        )
+
+    asked = dealt(queries, "q", query_blocks, "r", row_blocks)
+    met = dealt(rows.select("vec_id", "x"), "r", row_blocks, "q", query_blocks)
+    found = (
+        asked.withColumnRenamed("vec_id", "query_id").groupBy("r", "q")
+        .cogroup(met.groupBy("r", "q"))
+        .applyInPandas(_comparing(most), FOUND)
+    )
+    return _ranked(found, most)
+
+
+def _comparing(most: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def compare(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         hits = []
         if len(asked) and len(block):
@@ -266,12 +357,7 @@ def nearest(
             }
         )
 
-    found = (
-        visits.groupBy("bucket", "block")
-        .cogroup(index.groupBy("bucket", "block"))
-        .applyInPandas(compare, schema)
-    )
-    return _ranked(found, most)
+    return compare
 
 
 def _ranked(found: DataFrame, most: int) -> DataFrame:
