@@ -130,3 +130,22 @@ def test_queries_whose_buckets_are_empty_meet_all_rows(spark, monkeypatch):
     rows = skewed("unit", 500, 64)
     near = found(spark, rows, 20, tables=1, hashes=12, width=0.1, probes=1)
     assert check_recall(near, rows, range(0, 500, 20)) == 1
+
+
+def test_groups_hold_bounded_numbers_of_queries_and_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    numbers = spark.sparkContext.accumulator(0)
+    plain = ann._best
+
+    def counting(queries, own, ids, x, most):
+        if len(own) > 200 or len(ids) > 200:
+            numbers.add(1)
+        return plain(queries, own, ids, x, most)
+
+    monkeypatch.setattr(ann, "_best", counting)
+    # One vector everywhere, an id that repeats, and queries in one bucket.
+    rows = [(20 * i, [1.0] * 8) for i in range(500)] + [(1, [0.5] * 8)] * 500
+    near = found(spark, rows, 5, tables=1, hashes=1, width=1e9, probes=1)
+    assert numbers.value == 0
+    assert [i for i, _ in near[0]] == [20, 40, 60, 80, 100]
+    assert [i for i, _ in near[40]] == [0, 20, 60, 80, 100]

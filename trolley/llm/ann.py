@@ -12,9 +12,9 @@ products are computed in double precision, and the best of all tables are merged
 A range of at most BLOCK rows is one bucket that every query visits. Queries that have
 found fewer than asked for, although there are more ids, are compared with all rows.
 
-A bucket is cut into blocks of at most BLOCK vectors; every block keeps its own best, so
-a bucket may hold a third of all rows without going to one task, and none of its rows
-is left out. Every row with a usable vector is indexed; projections come from
+A bucket is cut into blocks of about BLOCK vectors, and so are the queries that visit it.
+Each block of queries meets each block of vectors and keeps its own best, so a bucket may
+hold a third of all rows without going to one task, and none of its rows is left out. Every row with a usable vector is indexed; projections come from
 a fixed seed, so nothing is fitted but the largest norms.
 
 Vectors that are null, empty, zero, of another length than most have, or that hold null
@@ -222,7 +222,13 @@ def nearest(
     usable_rows = usable_vectors(vectors).withColumn("norm", _norm(F.col("x")))
     # Norms of one length, such as 1, are in the middle of a range.
     rows = written(
-        usable_rows.withColumn("range", F.floor(F.log2("norm") + 0.5).cast("int")), "vectors"
+        usable_rows.withColumns(
+            {
+                "range": F.floor(F.log2("norm") + 0.5).cast("int"),
+                "place": F.monotonically_increasing_id(),
+            }
+        ),
+        "vectors",
     )
     kind = rows.schema["x"].dataType.simpleString()
     # As many ranges as there are exponents at most.
@@ -250,11 +256,17 @@ def nearest(
                 yield pd.DataFrame(
                     {
                         "bucket": buckets.ravel(),
+                        "place": np.repeat(part["place"].to_numpy(), each),
                         "vec_id": np.repeat(part["vec_id"].to_numpy(), each),
                         "x": [x for x in part["x"] for _ in range(each)],
                     }
                 )
 
+    def visited(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in probing(frames):
+            counts = out["bucket"].value_counts()
+            yield pd.DataFrame({"bucket": counts.index, "n": counts.to_numpy()})
+
     def probing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base, hashings = held.value
         for frame in frames:
@@ -272,35 +284,42 @@ def nearest(
                 out = pd.DataFrame(
                     {
                         "bucket": buckets.ravel(),
+                        "place": np.repeat(part["place"].to_numpy(), each),
                         "query_id": np.repeat(part["vec_id"].to_numpy(), each),
                         "q": np.repeat(np.arange(len(part)), each),
                     }
                 ).drop_duplicates()
                 x = part["x"].tolist()
-                yield out.assign(x=[x[i] for i in out["q"]])[["bucket", "query_id", "x"]]
+                yield out.assign(x=[x[i] for i in out["q"]])[["bucket", "place", "query_id", "x"]]
 
-    index = rows.mapInPandas(stored, f"bucket bigint, vec_id bigint, x {kind}")
+    index = rows.mapInPandas(stored, f"bucket bigint, place bigint, vec_id bigint, x {kind}")
     index = written(index, "vector-index")
-    # Blocks of a bucket: as many as its rows need, rows dealt by their ids.
+    queries = rows.where(is_query)
+    # Blocks of a bucket: as many as its rows and the queries that visit it need. Both
+    # are dealt by their places and not by their ids, which may repeat.
+    visits = queries.mapInPandas(visited, "bucket bigint, n bigint").groupBy("bucket")
+    parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
     sizes = written(
-        index.groupBy("bucket").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
-        ),
+        index.groupBy("bucket").agg(parts(F.count(F.lit(1))).alias("blocks"))
+        .join(visits.agg(parts(F.sum("n")).alias("asked")), "bucket"),
         "bucket-sizes",
-    )
-    index = index.join(sizes, "bucket").select(
-        "bucket", F.expr("cast(pmod(xxhash64(vec_id), blocks) AS int) AS block"), "vec_id", "x"
-    )
+    )
+    index = index.join(sizes, "bucket").selectExpr(
+        "bucket", "cast(pmod(xxhash64(place), blocks) AS int) AS block",
+        "explode(sequence(0, asked - 1)) AS turn", "vec_id", "x",
+    )
     visits = (
-        rows.where(is_query)
-        .mapInPandas(probing, f"bucket bigint, query_id bigint, x {kind}")
-        .join(sizes.select("bucket", "blocks"), "bucket")
-        .selectExpr("bucket", "explode(sequence(0, blocks - 1)) AS block", "query_id", "x")
-    )
+        queries.mapInPandas(probing, f"bucket bigint, place bigint, query_id bigint, x {kind}")
+        .join(sizes, "bucket")
+        .selectExpr(
+            "bucket", "explode(sequence(0, blocks - 1)) AS block",
+            "cast(pmod(xxhash64(place), asked) AS int) AS turn", "query_id", "x",
+        )
+    )
 
     found = (
-        visits.groupBy("bucket", "block")
-        .cogroup(index.groupBy("bucket", "block"))
+        visits.groupBy("bucket", "block", "turn")
+        .cogroup(index.groupBy("bucket", "block", "turn"))
         .applyInPandas(_comparing(most), FOUND)
     )
     ranked = written(_ranked(found, most), "neighbours")
@@ -323,17 +342,17 @@ def nearest(
 def _against_all(rows: DataFrame, short: DataFrame, most: int) -> DataFrame:
     """The exact nearest of the queries in ``short``: every block of them meets every block of rows."""
     ids = short.select(F.col("query_id").alias("vec_id"))
-    queries = written(rows.join(ids, "vec_id", "left_semi").select("vec_id", "x"), "short-vectors")
+    queries = written(rows.join(ids, "vec_id", "left_semi").select("place", "vec_id", "x"), "short-vectors")
     row_blocks, query_blocks = (max(1, -(-df.count() // BLOCK)) for df in (rows, queries))
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
         # By place, as ids may repeat.
-        return df.withColumn(own, (F.rand(_SEED) * parts).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        return df.withColumn(own, F.pmod(F.xxhash64("place"), F.lit(parts))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint")))
         )
 
     asked = dealt(queries, "q", query_blocks, "r", row_blocks)
-    met = dealt(rows.select("vec_id", "x"), "r", row_blocks, "q", query_blocks)
+    met = dealt(rows.select("place", "vec_id", "x"), "r", row_blocks, "q", query_blocks)
     found = (
         asked.withColumnRenamed("vec_id", "query_id").groupBy("r", "q")
         .cogroup(met.groupBy("r", "q"))
