@@ -149,3 +149,17 @@ def test_groups_hold_bounded_numbers_of_queries_and_rows(spark, monkeypatch):
     assert numbers.value == 0
     assert [i for i, _ in near[0]] == [20, 40, 60, 80, 100]
     assert [i for i, _ in near[40]] == [0, 20, 60, 80, 100]
+
+
+def test_an_id_that_repeats_takes_one_place(spark):
+    rows = [(0, [1.0] * 8)] + [(1, [9.0 - j / 100] * 8) for j in range(50)]
+    rows += [(i, [1.0 + i / 100] * 8) for i in range(2, 12)]
+    exact = brute(rows, 10, lambda i: i == 0)
+    near = found(spark, rows, tables=1, hashes=1, width=1e9, probes=1)
+    assert [i for i, _ in near[0]] == [i for i, _ in exact[0]]
+
+
+def test_a_block_is_cut_after_rows_of_an_id_are_merged():
+    x = np.array([[9.0], [8.0], [7.0], [3.0], [2.0]])
+    best = list(ann._best(np.ones((1, 1)), np.array([0]), np.array([1, 1, 1, 2, 3]), x, 2))
+    assert [(n, i.tolist(), s.tolist()) for n, i, s in best] == [(0, [1, 2], [9.0, 3.0])]

@@ -190,23 +190,30 @@ def _matrix(values: pd.Series) -> np.ndarray:
 def _best(
     queries: np.ndarray, own: np.ndarray, ids: np.ndarray, x: np.ndarray, most: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the ids and products of its ``most`` best rows of a block.
+    """For each query its ``most`` best ids of a block and their products, each id once.
 
     A fast product finds the rows that may be among them; these are computed
     again one by one, so that equal vectors have equal products.
     """
+    # Rows of an id stand together, so that its best one can be found.
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
     longest = np.sqrt((x * x).sum(axis=1).max())
     for start in range(0, len(own), 1024):
         part = slice(start, start + 1024)
         rough = queries[part] @ x.T
         rough[own[part][:, None] == ids[None, :]] = -np.inf
-        keep = min(most, rough.shape[1])
-        limit = np.partition(rough, -keep, axis=1)[:, -keep]
+        by_id = np.maximum.reduceat(rough, firsts, axis=1) if len(firsts) < len(ids) else rough
+        keep = min(most, by_id.shape[1])
+        limit = np.partition(by_id, -keep, axis=1)[:, -keep]
         limit = limit - 1e-12 * np.sqrt((queries[part] ** 2).sum(axis=1)) * longest
         for row, number in enumerate(own[part].tolist()):
             near = np.flatnonzero((rough[row] >= limit[row]) & (rough[row] > -np.inf))
             exact = (x[near] * queries[start + row]).sum(axis=1)
-            order = np.lexsort((ids[near], -exact))[:most]
+            order = np.lexsort((ids[near], -exact))
+            # The first row of each id is its best one.
+            order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])[:most]]
             yield number, ids[near][order], exact[order]
 
 
