@@ -78,3 +78,44 @@ def test_the_hash_is_minimal_and_perfect():
         again = line_dedup.PerfectHash.unpacked(built.packed())
         for hash_ in (built, again):
             assert sorted(hash_(h1, h2)) == list(range(n))
+
+
+def probes_of(docs, row, lines):
+    probes = np.zeros(docs * lines, line_dedup._PROBE)
+    probes["doc"] = np.repeat(np.arange(docs), lines)
+    probes["row"] = row
+    probes["line"] = np.tile(np.arange(lines), docs)
+    probes["h1"] = probes["h2"] = probes["line"] + 1
+    return probes
+
+
+def index_of(lines, owner):
+    entries = np.zeros(lines, line_dedup._ENTRY)
+    entries["h1"] = entries["h2"] = np.arange(lines) + 1
+    entries["n"], entries["owner"] = 5000, owner
+    return line_dedup.LineIndex(entries)
+
+
+def test_decided_lines_of_exact_copies_go_to_many_shards():
+    probes, to = line_dedup._targets(probes_of(5000, 12345, 4), index_of(4, 0), 50)
+    assert len(to) == 4999 * 4 and (to < 0).all()
+    assert np.bincount(-1 - to).max() < 2 * len(to) / 50
+    # One text of one id: its lines are dealt by their places.
+    one = np.unique(line_dedup._targets(probes_of(2, 1, 64_000), index_of(64_000, 0), 50)[1])
+    assert len(one) == 50
+
+
+def test_hot_lines_of_one_id_do_not_travel():
+    probes = probes_of(1, 7, 4)
+    assert len(line_dedup._targets(probes, index_of(4, 0), 50)[0]) == 0
+
+
+def test_lines_that_one_document_repeats_are_counted(make_docs, monkeypatch):
+    rows = [(3, "a line of one id\nanother line %d" % (i % 2)) for i in range(30)]
+    rows += [(1, "often in one document\n" * 20), (2, "often in one document")]
+    docs = make_docs(*rows)
+    kept = {(r.n, r.shared) for r in line_dedup.repeated_lines(docs).collect()}
+    assert kept == {(30, False), (15, False), (21, True)}
+    for parts in (3, 10, 20_000):
+        monkeypatch.setattr(line_dedup, "HOT_PARTS", parts)
+        assert found(docs) == sorted(brute(rows), key=repr)

@@ -1,13 +1,14 @@
 """Line dedup: a sharded minimal perfect hash over the repeated lines.
 
-1. Spark counts, for each 128-bit line hash, the documents that hold it and the
-   smallest of their ids; lines of one document only need no entry.
+1. Spark counts, for each 128-bit line hash, how often it occurs and the smallest and
+   largest id of the documents that hold it; lines of one document only need no entry.
 2. Each shard of these hashes becomes a minimal perfect hash (levels of bit arrays
    with ranks) that places 64-bit fingerprints, counts and owners in dense arrays.
 3. Documents send the hashes of their lines, packed by shard, to the arrays and get back
    the places of the lines to drop. Lines that make up more than one in HOT_PARTS of all
-   lines are fewer than HOT_PARTS; their arrays go to every task, so that
-   no shard receives more than its even share of lines to look up.
+   lines are fewer than HOT_PARTS, be it in many documents or in one; their arrays go
+   to every task, so that no shard receives more than its even share of lines to look
+   up. What these drop is dealt evenly, and rows alike in id and text are sent once a slice.
 4. Texts meet their places once and are put together again.
 
 A null text is one empty line. A document without id counts as one with the largest
@@ -31,6 +32,7 @@ from trolley.llm.shared import slices, text_of
 HOT_PARTS = 20_000
 LINES_PER_SHARD = 100_000
 LEAST_SHARDS = 256
+LINES_TOGETHER = 64
 LEAST_KEY = 10
 NO_ID = 2**63 - 1
 BLANKS = " \t\n\x0b\f\r"
@@ -124,13 +126,17 @@ class LineIndex:
         self.counts = np.minimum(entries["n"][order], 2**31 - 1).astype("<i4")
         self.owners = entries["owner"][order]
 
-    def dropped(self, probes: np.ndarray) -> np.ndarray:
-        """Whether each (h1, h2, doc) is a repeated line outside its owner."""
+    def found(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each (h1, h2, doc) is known, and whether it is outside its owner."""
         if not len(self.owners):
-            return np.zeros(len(probes), bool)
+            return np.zeros(len(probes), bool), np.zeros(len(probes), bool)
         at = self.hash(probes["h1"], probes["h2"])
         known = (at >= 0) & (self.fingerprints[at] == probes["h2"])
-        return known & (self.counts[at] >= 2) & (self.owners[at] != probes["doc"])
+        return known, known & (self.counts[at] >= 2) & (self.owners[at] != probes["doc"])
+
+    def dropped(self, probes: np.ndarray) -> np.ndarray:
+        """Whether each (h1, h2, doc) is a repeated line outside its owner."""
+        return self.found(probes)[1]
 
     def packed(self) -> bytes:
         head = self.hash.packed()
@@ -177,12 +183,13 @@ def _row_key(doc_id: str, text: Column) -> list[Column]:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(h1, h2, n, owner) of the line keys that several documents hold."""
+    """(h1, h2, n, owner, shared) of the line keys that occur more than once.
+
+    ``n`` counts occurrences, ``shared`` says whether several documents hold the line.
+    """
     lines = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("owner"),
-        F.explode(
-            F.array_distinct(F.transform(F.split(text_of(), "\n"), line_key))
-        ).alias("key"),
+        F.explode(F.transform(F.split(text_of(), "\n"), line_key)).alias("key"),
     ).where(F.length("key") >= LEAST_KEY)
     hashed = lines.select(
         F.xxhash64("key").alias("h1"),
@@ -197,8 +204,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             F.min("owner").alias("owner"),
             F.max("owner").alias("last"),
         )
-        .where(F.col("owner") != F.col("last"))
-        .select("h1", "h2", "n", "owner")
+        .where(F.col("n") > 1)
+        .select("h1", "h2", "n", "owner", (F.col("owner") != F.col("last")).alias("shared"))
     )
 
 
@@ -230,6 +237,22 @@ def _probes(part: pd.DataFrame) -> np.ndarray:
     return probes
 
 
+def _targets(probes: np.ndarray, own: LineIndex, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The probes that travel and their shards; below zero: ``own`` drops the line.
+
+    Lines that ``own`` knows and keeps need not travel. Those it drops are dealt by
+    document and place, a few neighbouring lines together.
+    """
+    known, drop = own.found(probes)
+    probes, drop = probes[~known | drop], drop[~known | drop]
+    to = _shard(probes["h1"], shards).astype(np.int64)
+    gone = probes[drop]
+    place = (gone["line"] // LINES_TOGETHER).astype(np.uint64)
+    mixed = _mix(_mix(gone["doc"].view("<u8") ^ _mix(gone["row"].view("<u8"))) + place)
+    to[drop] = -1 - (mixed % np.uint64(shards)).astype(np.int64)
+    return probes, to
+
+
 def _packed_columns(probes: np.ndarray) -> bytes:
     """Column after column, which packs better than row after row."""
     return b"".join(np.ascontiguousarray(probes[name]).tobytes() for name in _PROBE.names)
@@ -266,7 +289,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
     by_shard = F.pmod(F.shiftrightunsigned("h1", 32), F.lit(shards)).cast("int")
     index = (
-        repeated.where(~is_hot)
+        repeated.where(~is_hot & F.col("shared"))
         .withColumn("shard", by_shard)
         .groupBy("shard")
         .applyInPandas(build, "shard int, arrays binary")
@@ -277,10 +300,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
         own = LineIndex.unpacked(hot.value)
         for frame in frames:
             for part in slices(frame):
-                probes = _probes(part)
-                to = _shard(probes["h1"], shards).astype(np.int64)
-                drop = own.dropped(probes)
-                to[drop] = -1 - probes["row"][drop] % shards
+                # Rows alike in id and text lose the same lines.
+                once = part.drop_duplicates(["doc", "row"])
+                probes, to = _targets(_probes(once), own, shards)
                 order = np.argsort(to, kind="stable")
                 occurring, firsts = np.unique(to[order], return_index=True)
                 pieces = np.split(probes[order], firsts[1:])
