@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from trolley.llm import ann, bpe, ctw, decontam, langid, line_dedup, quality
-from trolley.llm import secret_scan, simhash, toxicity
+from trolley.llm import ann, bpe, ctw, decontam, fim, langid, line_dedup, piece_chunks, quality
+from trolley.llm import secret_scan, simhash, toxicity, word_runs
 from trolley.llm.shared import fold, read_table, shipped, written
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
@@ -124,6 +127,49 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def made_periodic(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One text in ten, by a hash of its id, repeats some of its words from a place on."""
+    text = "" if doc_id is None else str(doc_id)
+    g, rest = divmod(crc32(text.encode()), 10)
+    n = len(words)
+    if rest or not n:
+        return words
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(n - start)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = word_runs.periodic_runs(docs, 6, 4, made_periodic)
+    # Greatest length, then smallest start and period.
+    best = F.expr(
+        "array_min(transform(runs, r -> struct(-r.length AS less, r.start, r.period, r.length)))"
+    )
+    lines = F.transform(
+        "runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    )
+    return found.select("doc_id", "runs", "collapsed", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _tokens(piece_chunks.encoded(docs, public_tokenizers.path(PIECES)))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transformed(read_table(spark, sf_dir, "documents"))
+
+
 REGISTERED = {
     query.__name__: shipped(query)
     for query in (
@@ -137,6 +183,9 @@ REGISTERED = {
         op8_nearest_neighbours,
         op9_lm_scoring,
         op10_secret_scan,
+        op11_periodic_runs,
+        op12_sentencepiece,
+        op13_fill_in_middle,
     )
 }
 
@@ -153,6 +202,44 @@ lines AS (
 )"""
 
 ORACLE = {
+    "op13_fill_in_middle": """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+),
+drawn AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+    ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS d FROM hashed
+),
+formed AS (
+  SELECT *, least(a, b) AS first, greatest(a, b) AS second,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR c >= 90 THEN 'plain' WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+),
+parts AS (
+  SELECT *, substring(text, 1, first) AS prefix, substring(text, first + 1, second - first) AS middle,
+    substring(text, second + 1) AS suffix FROM formed
+),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM parts
+),
+found AS (
+  SELECT *, strpos(output, '<P>') AS p, strpos(output, '<S>') AS s, strpos(output, '<M>') AS m
+  FROM made
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN first END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN second - first END AS middle_chars,
+  sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN substring(output, p + 3, s - p - 3) || substring(output, m + 3)
+      || substring(output, s + 3, m - s - 3)
+    ELSE substring(output, p + 3, m - p - 3) || substring(output, m + 3)
+      || substring(output, s + 3, p - s - 3) END) AS restored_sha256
+FROM found
+""",
     "op2_line_dedup": f"""
 WITH {LINES},
 owners AS (

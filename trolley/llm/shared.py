@@ -129,3 +129,21 @@ def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
         return df
     share = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000))
     return df.where(share < F.lit(int(1_000_000 * most / rows)))
+
+
+def text_slices(batch, column: str = "text", size: int = SLICE_CHARS) -> Iterator:
+    """An Arrow batch cut into batches whose texts have about ``size`` bytes at most.
+
+    A single longer text is a batch by itself.
+    """
+    if not batch.num_rows:
+        return
+    column_of = batch.column(column)
+    kind = np.int64 if column_of.type in ("large_string", "large_binary") else np.int32
+    ends = np.frombuffer(column_of.buffers()[1], kind)
+    place = ends[column_of.offset : column_of.offset + batch.num_rows + 1].astype(np.int64)
+    place = place[1:] - place[0]
+    cuts = np.flatnonzero(np.diff((place - 1).clip(0) // size)) + 1
+    edges = [0, *cuts.tolist(), batch.num_rows]
+    for start, stop in zip(edges, edges[1:]):
+        yield batch.slice(start, stop - start)
