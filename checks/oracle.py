@@ -411,6 +411,29 @@ FROM windowed WHERE epoch_ms(window_end) <=
   (SELECT epoch_ms(max(event_timestamp)) - 600000 FROM ev)""",
 }
 ORACLE["stream_flash_sale_alerts"] = ORACLE["flash_sale_alerts"]
+PASSED = """(epoch_ms(window_end) <=
+  (SELECT epoch_ms(max(event_timestamp)) - 600000 FROM ev))"""
+ORACLE["stream_windows"] = (
+    with_(windowed(172800, 86400))
+    + f"""SELECT 'alert' AS kind, {WINDOW_COLUMNS}, product_id, views, purchases,
+  0::BIGINT AS total_events FROM windowed WHERE views > 2 AND purchases < 1
+UNION ALL
+SELECT 'closed', {WINDOW_COLUMNS}, product_id, views, purchases, total_events
+FROM windowed WHERE {PASSED}"""
+)
+ORACLE["stream_state_windows"] = (
+    with_(windowed(172800, 86400))
+    + f"""SELECT {WINDOW_COLUMNS}, product_id, views, purchases, total_events
+FROM windowed WHERE NOT {PASSED}"""
+)
+ORACLE["stream_trigger_metrics"] = (
+    with_()
+    + """SELECT count(*) AS events, count(*) FILTER (event_type = 'error') AS malformed,
+  count(*) FILTER (event_type = 'error') AS undated, 0::BIGINT AS late_events,
+  strftime(max(event_timestamp) FILTER (event_type <> 'error'), '%Y-%m-%dT%H:%M:%S.%f')
+    AS newest_event
+FROM ev GROUP BY (day(day) - 1) // 10"""
+)
 
 # A key of the first load stays, also where it is no longer among the top five.
 ORACLE["merge_upsert"] = (

@@ -29,7 +29,7 @@ from trolley.sources import decode, serving
 from trolley.sources.event_logs import malformed_lines_of, read_daily_logs
 from trolley.sources.event_logs import read_event_log
 from trolley.sources.shop_events import read_shop_events, stream_shop_events
-from trolley.streaming import pipeline
+from trolley.streaming import metrics, pipeline, state, watch
 from trolley.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,13 +83,13 @@ def arrived_early(events: DataFrame) -> DataFrame:
 # --- projections ------------------------------------------------------------
 
 
-def _messages(events: DataFrame) -> DataFrame:
+def _messages(events: DataFrame, *others: Column) -> DataFrame:
     """Messages as the topic carries them; those of errors are cut off."""
     whole = expr.event_json()
     text = F.when(F.col("event_type") == "error", F.left(whole, F.lit(30))).otherwise(
         whole
     )
-    return events.select(text.cast("binary").alias("value"))
+    return events.select(text.cast("binary").alias("value"), *others)
 
 
 @register
@@ -604,6 +604,93 @@ def stream_flash_sale_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(found.drop("detected_at", "window_hour"))
 
 
+def _watched(spark: SparkSession, settings: Settings, events: DataFrame, name: str):
+    """The job over a bounded stream until nothing is left; its checkpoint."""
+    checkpoint = scratch_path(spark, f"{name}-checkpoint")
+    changes = watch.window_changes(
+        events,
+        settings.window,
+        settings.slide,
+        settings.watermark,
+        settings.state_ttl,
+        settings.views_threshold,
+        settings.purchases_threshold,
+    )
+    query = streams.start_windows(
+        metrics.observe_windows(changes),
+        settings,
+        settings.tables_path,
+        settings.history_path,
+        checkpoint,
+        {"availableNow": True},
+    )
+    query.awaitTermination()
+    return checkpoint
+
+
+def _alert_settings(spark: SparkSession, **values) -> Settings:
+    return Settings(
+        window=ALERT_WINDOW,
+        slide=ALERT_SLIDE,
+        views_threshold=ALERT_VIEWS,
+        purchases_threshold=ALERT_PURCHASES,
+        tables_path=scratch_path(spark, "watched-tables"),
+        **values,
+    )
+
+
+@register
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts in their table and closed windows in the history, from one read and one state."""
+    settings = _alert_settings(spark, history_path=scratch_path(spark, "watched-history"))
+    _watched(spark, settings, stream_shop_events(spark, sf_dir), "windows")
+    key = ("window_start", "window_end", "product_id", "views", "purchases")
+    alerts = serving.read_table(spark, settings.tables_path, schemas.FLASH_SALE_ALERTS)
+    closed = serving.read_history(spark, settings.history_path)
+    # An alert has no number of all events; 0 stands for it.
+    return plain(
+        alerts.select(F.lit("alert").alias("kind"), *key, F.lit(0).alias("total_events")).unionAll(
+            closed.select(F.lit("closed").alias("kind"), *key, "total_events")
+        )
+    )
+
+
+@register
+def stream_state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that a stopped stream holds, read from the state in its checkpoint."""
+    settings = _alert_settings(spark, history_path=scratch_path(spark, "watched-history"))
+    checkpoint = _watched(spark, settings, stream_shop_events(spark, sf_dir), "state")
+    return plain(state.open_windows(spark, checkpoint).drop("alerted", "expires_at"))
+
+
+@register
+def stream_trigger_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and malformed messages of each trigger, as a listener has written them.
+
+    The messages come in files of ten days, one for each trigger.
+    """
+    events = read_shop_events(spark, sf_dir)
+    folder, path = scratch_path(spark, "messages"), scratch_path(spark, "trigger-metrics")
+    third = F.floor((F.dayofmonth("event_date") - 1) / 10).alias("third")
+    # The date is no part of a message; it only deals the rows to files.
+    _messages(events, third).repartition("third").write.partitionBy("third").parquet(folder)
+    kept = schemas.struct(value=T.BinaryType(), third=T.IntegerType())
+    messages = spark.readStream.schema(kept).option("maxFilesPerTrigger", 1).parquet(folder)
+    settings = _alert_settings(spark, watermark="60 days")
+    listener = metrics.TriggerMetrics(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        observed = metrics.observe_events(pipeline.events_of(messages))
+        _watched(spark, settings, observed, "metrics")
+        # Progress comes a moment after the query has ended.
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+        listener.flush()
+    found = metrics.read_metrics(spark, path).where("events > 0")
+    return found.select("events", "malformed", "undated", "late_events", "newest_event")
+
+
 @register
 def stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily logs written by a stream."""

@@ -238,6 +238,42 @@ def test_history_has_few_files_and_reads_by_day(spark, feed, tmp_path):
     assert pruned.count() == 0 and stats.count() > 0
 
 
+def test_state_is_computed_by_all_its_partitions(spark, feed, tmp_path):
+    feed.add(*[(f"p{i}", "view", at(i % 30)) for i in range(40)], ("p", "view", at(59)))
+    _, query = run_history(feed, tmp_path, Settings(history_files=1))
+    partitions = {
+        operator.numShufflePartitions
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    }
+    assert partitions == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    tasks = [
+        int(progress.stateOperators[0].numStateStoreInstances)
+        for progress in query.recentProgress
+        if progress.stateOperators
+    ]
+    assert tasks and min(tasks) == max(partitions)
+
+
+def test_table_and_console_take_one_copy(spark, feed, tmp_path, capsys):
+    settings = Settings(views_threshold=1, purchases_threshold=1, alerts_console=True)
+    feed.add(("a", "view", at(1)), ("a", "view", at(2)))
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            counted.add(len(frame))
+            yield frame
+
+    messages = feed.messages().mapInPandas(count, "value binary")
+    alerts = pipeline.alerts(pipeline.events_of(messages), settings)
+    root = str(tmp_path / "tables")
+    queries.start_alerts(alerts, settings, root, str(tmp_path / "cp"), NOW).awaitTermination()
+    assert "2 changed alerts" in capsys.readouterr().out
+    assert read_table(spark, root, schemas.FLASH_SALE_ALERTS).count() == 2
+    assert counted.value == 2
+
+
 def test_alerts_on_the_console(spark, feed, tmp_path, capsys):
     feed.add(("a", "view", at(1)), ("a", "view", at(2)))
     alerts = pipeline.alerts(feed.events(), LOW)
@@ -258,7 +294,7 @@ def test_event_log_of_a_stream(spark, feed, tmp_path):
     ]
 
 
-def test_the_job_starts_all_queries(spark, feed, tmp_path):
+def test_the_job_starts_one_query(spark, feed, tmp_path):
     feed.add(("a", "view", at(1)), ("a", "view", at(2)))
     feed.add(("a", "view", at(59)))
     settings = Settings(
@@ -266,19 +302,15 @@ def test_the_job_starts_all_queries(spark, feed, tmp_path):
         purchases_threshold=1,
         tables_path=str(tmp_path / "tables"),
         history_path=str(tmp_path / "history"),
-        history_checkpoint=str(tmp_path / "history-checkpoint"),
         alert_trigger="1 second",
-        history_trigger="1 second",
     )
-    started = job.start(spark, feed.messages(), settings, str(tmp_path / "checkpoints"))
+    before = len(spark.streams.active)
+    query = job.start(spark, feed.messages(), settings, str(tmp_path / "checkpoints"))
     try:
-        names = {query.name for query in started}
-        assert names == {"alerts", "stats_history"}
-        for query in started:
-            query.processAllAvailable()
+        assert query.name == "windows" and len(spark.streams.active) == before + 1
+        query.processAllAvailable()
     finally:
-        for query in started:
-            query.stop()
+        query.stop()
     alerts = read_table(spark, settings.tables_path, schemas.FLASH_SALE_ALERTS)
     assert in_order(alerts, start_text(), "views") == [("09:55", 2), ("10:00", 2)]
     history = read_history(spark, settings.history_path)

@@ -38,6 +38,7 @@ class Settings:
     window: str = "10 minutes"
     slide: str = "5 minutes"
     watermark: str | None = "10 minutes"
+    state_ttl: str = "2 days"
     views_threshold: int = 100
     purchases_threshold: int = 5
     alert_trigger: str = "30 seconds"
@@ -48,6 +49,8 @@ class Settings:
     history_enabled: bool = True
     history_path: str | None = None
     history_checkpoint: str | None = None
+    metrics_path: str | None = None
+    metrics_every: int = 20
     raw_logs_path: str | None = None
     output_path: str | None = None
     tables_path: str | None = None
@@ -71,6 +74,7 @@ class Settings:
             slide=env.get("SLIDE_DURATION", cls.slide),
             # An empty value switches the watermark of the alerts off.
             watermark=env.get("WATERMARK_DELAY", cls.watermark) or None,
+            state_ttl=env.get("STATE_TTL", cls.state_ttl),
             views_threshold=_whole_number(env, "VIEWS_THRESHOLD", cls.views_threshold),
             purchases_threshold=_whole_number(
                 env, "PURCHASES_THRESHOLD", cls.purchases_threshold
@@ -81,6 +85,8 @@ class Settings:
             history_files=_whole_number(env, "HISTORY_FILES", cls.history_files),
             history_path=env.get("PARQUET_OUTPUT_PATH"),
             history_checkpoint=env.get("PARQUET_CHECKPOINT_PATH"),
+            metrics_path=env.get("STREAM_METRICS_PATH"),
+            metrics_every=_whole_number(env, "STREAM_METRICS_EVERY", cls.metrics_every),
             raw_logs_path=env.get("RAW_LOGS_PATH"),
             output_path=env.get("OUTPUT_PATH"),
             tables_path=env.get("TABLES_PATH"),

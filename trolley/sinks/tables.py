@@ -124,6 +124,7 @@ def upsert(
     now: Column | None = None,
     days: Sequence[date] | None = None,
     replace_days: bool = False,
+    removed: DataFrame | None = None,
 ) -> None:
     """Merge checked rows into the stored days they belong to.
 
@@ -133,10 +134,16 @@ def upsert(
     are staged before the old ones are replaced: if the last step fails, the
     staged folder is kept and ``publish`` can be run again from it.
     ``replace_days`` drops stored rows without a new one; with ``days``, also
-    all rows of a day that has no new row at all.
+    all rows of a day that has no new row at all. ``removed`` has the key and the day of stored
+    rows to drop; ``rows`` must not have the same keys.
     """
     spark = rows.sparkSession
-    days = days_in(rows, table.partition) if days is None else list(days)
+    if days is None:
+        named = rows.select(table.partition)
+        if removed is not None:
+            named = named.unionAll(removed.select(table.partition))
+        days = days_in(named, table.partition)
+    days = list(days)
     if not days:
         logger.warning("no rows for %s, nothing to store", table.name)
         return
@@ -145,6 +152,8 @@ def upsert(
     if replace_days:
         key = list(table.key)
         touched = touched.join(rows.select(*key), key, "left_semi")
+    if removed is not None:
+        touched = touched.join(removed.select(*table.key), list(table.key), "left_anti")
     merged = merge_upsert(touched, rows, table.key, table.updated, table.stamp, now)
     with passing_scratch(spark, f"{table.name}-merged") as path:
         kept = written(merged, path)
@@ -155,9 +164,10 @@ def upsert(
                 "%s: days may be incomplete, publish again from %s", table.name, path
             )
             raise
-    if replace_days:
-        for day in sorted({*days} - {*days_in(rows, table.partition)}):
-            remove(spark, f"{table_path(root, table)}/{table.partition}={day}")
+        if replace_days or removed is not None:
+            # A day without rows is not written, so its old rows would stay.
+            for day in sorted({*days} - {*days_in(kept, table.partition)}):
+                remove(spark, f"{table_path(root, table)}/{table.partition}={day}")
 
 
 def upsert_all(

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trolley.session import build_session, shared_folder
 from trolley.settings import Settings
 from trolley.sources.kafka import read_topic
-from trolley.streaming import pipeline, queries
+from trolley.streaming import metrics, pipeline, queries, watch
 
 
 def start(
@@ -19,43 +19,52 @@ def start(
     messages: DataFrame,
     settings: Settings,
     checkpoints: str | None = None,
-) -> list[StreamingQuery]:
-    """Start all configured queries over one message stream.
+    trigger: queries.Trigger | None = None,
+) -> StreamingQuery:
+    """Start the query that serves alerts and history from one read of the messages.
 
-    Their checkpoints lie in ``checkpoints``, by default the shared folder.
+    Its checkpoint lies in the folder of the settings, else in ``checkpoints``, by default the shared
+    folder. Without a watermark
+    windows are never closed: there is no history, and idle windows leave the state.
     """
-    events = pipeline.events_of(messages)
-    alerts = pipeline.alerts(events, settings)
+    if settings.history_enabled and not settings.watermark:
+        raise ValueError("the history appends closed windows: set a watermark")
+    events = metrics.observe_events(pipeline.events_of(messages))
+    changes = watch.window_changes(
+        events,
+        settings.window,
+        settings.slide,
+        settings.watermark,
+        settings.state_ttl,
+        settings.views_threshold,
+        settings.purchases_threshold,
+    )
     folder = checkpoints or shared_folder(spark)
-
-    def checkpoint(name: str) -> str | None:
-        return f"{folder.rstrip('/')}/{name}" if folder else None
-
-    started = [
-        queries.start_alerts(alerts, settings, settings.tables_path, checkpoint("alerts"))
-    ]
-    if settings.history_enabled:
-        started.append(
-            queries.start_history(
-                pipeline.history(events, settings),
-                settings,
-                settings.require("history_path"),
-                settings.history_checkpoint or checkpoint("stats_history"),
-            )
-        )
-    return started
+    return queries.start_windows(
+        metrics.observe_windows(changes),
+        settings,
+        settings.tables_path,
+        settings.require("history_path") if settings.history_enabled else None,
+        settings.history_checkpoint or (f"{folder.rstrip('/')}/windows" if folder else None),
+        trigger,
+    )
 
 
 def main() -> None:
     settings = Settings.from_env()
     spark = build_session(settings)
-    started = start(spark, read_topic(spark, settings), settings)
+    listener = None
+    if settings.metrics_path:
+        listener = metrics.TriggerMetrics(spark, settings.metrics_path, settings.metrics_every)
+        spark.streams.addListener(listener)
+    query = start(spark, read_topic(spark, settings), settings)
     try:
-        # Also ends when one of the queries fails.
-        spark.streams.awaitAnyTermination()
+        # Also ends when the query fails.
+        query.awaitTermination()
     finally:
-        for query in started:
-            query.stop()
+        query.stop()
+        if listener:
+            listener.flush()
         spark.stop()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -14,8 +14,12 @@ from trolley.session import passing_scratch, written
 from trolley.settings import Settings
 from trolley.sinks.tables import create_tables, upsert
 from trolley.sources.serving import rejected_path
+from trolley.streaming import watch
 
 Trigger = dict[str, Any]
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+WINDOW_COLUMNS = ("window_start", "window_end", "product_id", *watch.COUNTS)
+ALERT_COLUMNS = ("window_start", "window_end", "product_id", "views", "purchases")
 
 
 def _writer(
@@ -26,6 +30,28 @@ def _writer(
     return writer.option("checkpointLocation", checkpoint) if checkpoint else writer
 
 
+def make_history(spark: SparkSession, path: str) -> None:
+    """The folder of the history, so that it can be read before anything is in it."""
+    spark.createDataFrame([], WINDOWED_STATS).write.mode("ignore").parquet(path)
+
+
+def append_history(closed: DataFrame, path: str, number: int, files: int) -> None:
+    """Write the windows closed by one batch; a batch that runs again replaces its folders.
+
+    The few closed windows are dealt anew: the state is computed by all its partitions, and
+    at most ``files`` tasks write, so there are a few files of each day.
+    """
+    (
+        closed.withColumn("window_date", F.to_date("window_start"))
+        .withColumn("batch_id", F.lit(number))
+        .repartition(files)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("window_date", "batch_id")
+        .parquet(path)
+    )
+
+
 def start_history(
     history: DataFrame,
     settings: Settings,
@@ -35,28 +61,34 @@ def start_history(
 ) -> StreamingQuery:
     """Closed windows as Parquet files, in folders by day and batch.
 
-    A batch that runs again replaces its own folders. At most ``history_files`` tasks
-    write, so there are a few files of each day and not one per state partition. ``sources.serving.read_history`` reads them.
+    ``sources.serving.read_history`` reads them.
     """
-    empty = history.sparkSession.createDataFrame([], WINDOWED_STATS)
-    empty.write.mode("ignore").parquet(path)
+    make_history(history.sparkSession, path)
 
     def store(batch: DataFrame, number: int) -> None:
-        (
-            batch.withColumn("window_date", F.to_date("window_start"))
-            .withColumn("batch_id", F.lit(number))
-            .coalesce(settings.history_files)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("window_date", "batch_id")
-            .parquet(path)
-        )
+        append_history(batch, path, number, settings.history_files)
 
     trigger = trigger or {"processingTime": settings.history_trigger}
     writer = _writer(history, "stats_history", "append", checkpoint, trigger)
     return writer.foreachBatch(store).start()
 
 
+def _with_hour(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("window_hour", F.date_format("window_start", "yyyy-MM-dd-HH"))
+
+
+def _store(
+    rows: DataFrame, root: str, batch_id: int, withdrawn: DataFrame | None = None
+) -> None:
+    """Merge staged alerts into their table, and take those of ``withdrawn`` windows out."""
+    valid = keeps_rules(FLASH_SALE_ALERTS)
+    rejected = rows.where(~valid)
+    if not rejected.isEmpty():
+        rejected.write.mode("overwrite").parquet(f"{rejected_path(root)}/batch_id={batch_id}")
+    stored = conform(rows.where(valid), FLASH_SALE_ALERTS)
+    upsert(stored, root, FLASH_SALE_ALERTS, removed=withdrawn)
+
+
 def store_alerts(alerts: DataFrame, root: str, batch_id: int = 0) -> None:
     """Merge alerts into their table; ``detected_at`` stays that of the first.
 
@@ -65,17 +97,14 @@ def store_alerts(alerts: DataFrame, root: str, batch_id: int = 0) -> None:
     which a repeated batch replaces. ``sources.serving.read_rejected_alerts``
     gives the newest of each window.
     """
-    hour = F.date_format("window_start", "yyyy-MM-dd-HH")
-    valid = keeps_rules(FLASH_SALE_ALERTS)
     with passing_scratch(alerts.sparkSession, "alerts") as path:
-        rows = written(alerts.withColumn("window_hour", hour), path)
-        rejected = rows.where(~valid)
-        if not rejected.isEmpty():
-            rejected.write.mode("overwrite").parquet(
-                f"{rejected_path(root)}/batch_id={batch_id}"
-            )
-        stored = conform(rows.where(valid), FLASH_SALE_ALERTS)
-        upsert(stored, root, FLASH_SALE_ALERTS)
+        _store(written(_with_hour(alerts), path), root, batch_id)
+
+
+def show(rows: DataFrame, number: int, most: int, name: str = "changed alerts") -> None:
+    """Print the number of staged rows, and the first of them in full width."""
+    print(f"batch {number}: {rows.count()} {name}")
+    rows.orderBy("window_start", "product_id").show(most, False)
 
 
 def start_alerts(
@@ -97,12 +126,65 @@ def start_alerts(
     shown = settings.alerts_console or not root
 
     def take(batch: DataFrame, number: int) -> None:
-        if root:
-            store_alerts(batch, root, number)
-        if shown:
-            print(f"batch {number}: {batch.count()} changed alerts")
-            batch.orderBy("window_start", "product_id").show(settings.console_rows, False)
+        # The state is computed once, by the write; all else reads what it has written.
+        with passing_scratch(batch.sparkSession, "alerts") as path:
+            rows = written(_with_hour(batch), path)
+            if root:
+                _store(rows, root, number)
+            if shown:
+                show(rows.drop("window_hour"), number, settings.console_rows)
 
     trigger = trigger or {"processingTime": settings.alert_trigger}
     writer = _writer(alerts, "alerts", "update", checkpoint, trigger)
     return writer.foreachBatch(take).start()
+
+
+def start_windows(
+    changes: DataFrame,
+    settings: Settings,
+    root: str | None = None,
+    history_path: str | None = None,
+    checkpoint: str | None = None,
+    trigger: Trigger | None = None,
+) -> StreamingQuery:
+    """Alerts into their table or onto the console, closed windows into the history.
+
+    ``changes`` are those of ``watch.window_changes``. They are computed once in each
+    trigger, by the write to the scratch folder, and read from there. An alert that is
+    withdrawn leaves the table. A batch that runs again gives the same tables.
+    """
+    spark = changes.sparkSession
+    if root:
+        create_tables(spark, root, [FLASH_SALE_ALERTS])
+    if history_path:
+        make_history(spark, history_path)
+    shown = settings.alerts_console or not root
+
+    def take(batch: DataFrame, number: int) -> None:
+        with passing_scratch(batch.sparkSession, "windows") as path:
+            rows = written(_with_hour(batch), path)
+            of_kind = {kind: rows.where(F.col("kind") == kind) for kind in watch.KINDS}
+            alerts = of_kind[watch.ALERT].select(*ALERT_COLUMNS, "window_hour")
+            withdrawn = of_kind[watch.WITHDRAWN].select(*ALERT_COLUMNS, "window_hour")
+            if root:
+                _store(alerts, root, number, withdrawn)
+            if history_path:
+                closed = of_kind[watch.CLOSED].select(*WINDOW_COLUMNS)
+                closed = closed.withColumn("processed_at", F.current_timestamp())
+                append_history(closed, history_path, number, settings.history_files)
+            if shown:
+                show(alerts.drop("window_hour"), number, settings.console_rows)
+                show(withdrawn.drop("window_hour"), number, settings.console_rows, "withdrawn")
+
+    trigger = trigger or {"processingTime": settings.alert_trigger}
+    writer = _writer(changes, "windows", "update", checkpoint, trigger).foreachBatch(take)
+    if settings.watermark or not {"availableNow", "once"} & {*trigger}:
+        return writer.start()
+    # State that ends by time is looked for in empty batches, without end: a query
+    # that is to stop by itself must not make any.
+    before = spark.conf.get(EMPTY_BATCHES)
+    spark.conf.set(EMPTY_BATCHES, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(EMPTY_BATCHES, before)
