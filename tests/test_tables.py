@@ -284,3 +284,62 @@ def test_a_missing_rate_reads_as_zero(spark, root):
     tables.upsert(tables.staged(rows, table), root, table)
     row = serving.summary_by_date(spark, root, "2024-01-01").first()
     assert (row.buyer_rate, row.generated_at) == (0.0, None)
+
+
+def test_clean_rows_are_not_read_again_for_their_rules(spark, products, root, monkeypatch):
+    tables.create_tables(spark, root, [TABLE])
+
+    def never(*_):
+        raise AssertionError("read again")
+
+    rows = products((day(1), "a", 1, 1), (day(2), "b", 2, 1))
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "check", never)
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("plain", "")
+        tables.stage(rows, "plain")
+        spark.sparkContext.setJobGroup("checked", "")
+        kept = tables.staged(rows, TABLE)
+        plain, checked = (len(tracker.getJobIdsForGroup(g)) for g in ("plain", "checked"))
+        assert plain == checked
+        tables.upsert(kept, root, TABLE, at(FIRST))
+        tables.upsert_all({TABLE: rows}, root, at(SECOND))
+        with pytest.raises(AssertionError, match="read again"):
+            tables.staged(products((day(1), None, 1, 1)), TABLE)
+    spark.sparkContext.setJobGroup("", "")
+    assert [row[:2] for row in stored(spark, root)] == [(day(1), "a"), (day(2), "b")]
+
+
+def test_a_key_twice_is_named_and_no_table_is_touched(spark, products, root):
+    tables.create_tables(spark, root)
+    good = spark.sql(
+        "SELECT DATE'2024-01-01' AS report_date, 5L AS total_events, 1L AS buyer_count, "
+        "1L AS window_shopper_count, CAST(50 AS DECIMAL(5,2)) AS buyer_rate, "
+        "TIMESTAMP'2024-01-02 00:00:00' AS generated_at"
+    )
+    twice = products((day(1), "p", 1, 1), (day(1), "p", 2, 2))
+    with pytest.raises(tables.ConstraintViolation, match="key is not unique"):
+        tables.upsert_all({schemas.DAILY_SUMMARY: good, TABLE: twice}, root, at(FIRST))
+    assert serving.read_table(spark, root, schemas.DAILY_SUMMARY).count() == 0
+    assert stored(spark, root) == []
+
+
+def test_new_days_are_in_the_catalog_without_a_repair(spark, products, root):
+    tables.register_tables(spark, root, "by_day", [TABLE])
+
+    def known():
+        return [row[0] for row in spark.sql(f"SHOW PARTITIONS by_day.{TABLE.name}").collect()]
+
+    try:
+        load(products((day(1), "a", 1, 1), (day(2), "b", 1, 1)), root, FIRST, database="by_day")
+        assert known() == ["report_date=2024-01-01", "report_date=2024-01-02"]
+        load(products((day(3), "c", 1, 1)), root, FIRST)
+        assert len(known()) == 2  # not told
+        tables.upsert_all({TABLE: products((day(2), "d", 2, 2))}, root, database="by_day")
+        found = spark.sql(f"SELECT product_id FROM by_day.{TABLE.name} ORDER BY 1").collect()
+        assert [row[0] for row in found] == ["a", "b", "d"]
+        # A day whose rows have all gone.
+        load(products(), root, SECOND, days=[day(1)], replace_days=True, database="by_day")
+        assert known() == ["report_date=2024-01-02"]
+    finally:
+        spark.sql("DROP DATABASE by_day CASCADE")

@@ -69,6 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/trolley/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name in its store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file or folder of any store; nothing if it is not there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
