@@ -411,6 +411,23 @@ FROM windowed WHERE epoch_ms(window_end) <=
   (SELECT epoch_ms(max(event_timestamp)) - 600000 FROM ev)""",
 }
 ORACLE["stream_flash_sale_alerts"] = ORACLE["flash_sale_alerts"]
+ORACLE["user_action_sets_of_bits"] = ORACLE["user_action_sets"]
+ORACLE["daily_summary_pieces"] = ORACLE["daily_summary_doc"]
+for _name, _test in (("events_of_buyers", "IN"), ("events_without_buyers", "NOT IN")):
+    ORACLE[_name] = (
+        with_()
+        + f"""SELECT strftime(day, '%Y-%m-%d') AS event_date, event_type, count(*) AS events
+FROM ev WHERE user_id {_test} (SELECT user_id FROM ev
+  WHERE event_type = 'purchase' AND day = DATE '2024-01-03')
+GROUP BY day, event_type"""
+    )
+ORACLE["conversion_trends_of_sundays"] = (
+    with_(conversion())
+    + """SELECT strftime(s.day, '%Y-%m-%d') AS as_of, strftime(c.day, '%Y-%m-%d') AS date,
+  c.category, c.conversion_rate
+FROM (SELECT DISTINCT day FROM ev WHERE dayofweek(day) = 0) s
+JOIN conversion c ON c.day BETWEEN s.day - INTERVAL 7 DAY AND s.day"""
+)
 PASSED = """(epoch_ms(window_end) <=
   (SELECT epoch_ms(max(event_timestamp)) - 600000 FROM ev))"""
 ORACLE["stream_windows"] = (

@@ -16,13 +16,14 @@ from checks.prepare import prepared
 from trolley import schemas
 from trolley.functions import events as expr
 from trolley.functions import rates
-from trolley.operators import categories, constraints, merge, products, summaries
+from trolley.operators import action_bits, categories, constraints, merge, products, summaries
 from trolley.operators import traffic, users, windows
 from trolley.operators.ranking import GROUP_LIMIT_SETTING
 from trolley.plans.daily import daily_results, store
-from trolley.session import scratch_path
+from trolley.session import scratch_path, stage
 from trolley.settings import Settings
 from trolley.sinks import kafka
+from trolley.sinks.documents import read_documents, write_summary_pieces
 from trolley.sinks.event_logs import append_event_log, start_event_log
 from trolley.sinks.tables import create_tables, staged, upsert
 from trolley.sources import decode, serving
@@ -177,6 +178,41 @@ def user_action_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(users.user_action_sets(read_shop_events(spark, sf_dir)))
 
 
+@register
+def user_action_sets_of_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of types as bits; the dictionary has three, so others overflow."""
+    events = read_shop_events(spark, sf_dir)
+    dictionary = action_bits.frequent_types(events, 3)
+    return plain(action_bits.user_action_sets(events, dictionary))
+
+
+def _listed_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buyers of one day, as a filter on the table of all segments."""
+    segments = stage(users.user_segments(_activity(spark, sf_dir)), "segments")
+    day = F.lit(UNDATED_DAY).cast("date")
+    return users.buyers(segments).where(F.col("report_date") == day)
+
+
+def _per_day_and_type(events: DataFrame) -> DataFrame:
+    return plain(
+        events.groupBy("event_date", "event_type").agg(F.count("*").alias("events"))
+    )
+
+
+@register
+def events_of_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users on a list: a semi join."""
+    listed = _listed_buyers(spark, sf_dir)
+    return _per_day_and_type(users.events_of(read_shop_events(spark, sf_dir), listed))
+
+
+@register
+def events_without_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users that are not on a list: an anti join."""
+    listed = _listed_buyers(spark, sf_dir)
+    return _per_day_and_type(users.events_without(read_shop_events(spark, sf_dir), listed))
+
+
 @register
 def user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = users.user_segments(_activity(spark, sf_dir))
@@ -351,6 +387,25 @@ def daily_summary_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(summaries.summary_json(_summaries(spark, sf_dir)))
 
 
+@register
+def daily_summary_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written piece by piece and read again, without their blanks."""
+    events = read_shop_events(spark, sf_dir)
+    conversion = categories.category_conversion(events)
+    rows = summaries.summary_rows(
+        users.user_activity(events),
+        products.product_views(events),
+        conversion,
+        F.lit(GENERATED_AT),
+    )
+    path = scratch_path(spark, "summary-pieces")
+    write_summary_pieces(rows, conversion, path)
+    found = read_documents(spark, path)
+    return plain(
+        found.select("report_date", F.regexp_replace("document", r"\s+", "").alias("document"))
+    )
+
+
 @register
 def daily_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(summaries.report_texts(_summaries(spark, sf_dir)))
@@ -507,6 +562,19 @@ def conversion_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.conversion_trends(spark, root, days=7, as_of="2024-01-30")
 
 
+@register
+def conversion_trends_of_sundays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trends as of every Sunday with events, in one job."""
+    table = schemas.CATEGORY_CONVERSION
+    root = scratch_path(spark, "trend-tables")
+    events = read_shop_events(spark, sf_dir)
+    create_tables(spark, root, [table])
+    upsert(staged(_category_rows(events), table), root, table, moment(GENERATED_AT))
+    dates = events.select(F.col("event_date").alias("as_of")).distinct()
+    calendar = stage(dates, "calendar").where(F.dayofweek("as_of") == 1)
+    return serving.conversion_trends_as_of(spark, root, calendar, days=7)
+
+
 # --- logs -------------------------------------------------------------------
 
 

@@ -73,6 +73,20 @@ def user_action_sets(events: DataFrame) -> DataFrame:
     )
 
 
+def events_of(events: DataFrame, listed: DataFrame) -> DataFrame:
+    """Events of the users in ``listed``, which may be a large table of ids.
+
+    Spark drops most other events at the scan by a Bloom filter of the ids, if the list is
+    filtered and the settings of the session find that worth it; see ``session.build_session``.
+    """
+    return events.join(listed.select("user_id"), "user_id", "left_semi").select(*events.columns)
+
+
+def events_without(events: DataFrame, listed: DataFrame) -> DataFrame:
+    """Events of users that are not in ``listed``, and those without a user."""
+    return events.join(listed.select("user_id"), "user_id", "left_anti").select(*events.columns)
+
+
 def first_users(segments: DataFrame, size: int = 10) -> DataFrame:
     """The first users of each day and segment with their position.
 

@@ -62,6 +62,25 @@ def conversion_trends(
     )
 
 
+def conversion_trends_as_of(
+    spark: SparkSession, root: str, calendar: DataFrame, days: int = 7
+) -> DataFrame:
+    """Rates of the last ``days`` days before each date ``as_of`` of ``calendar``, and of it.
+
+    (as_of, date, category, conversion_rate) of all dates in one job. The days that the calendar
+    asks for prune the partitions while the query runs, if it is small and filtered.
+    """
+    before = F.sequence(F.date_sub("as_of", int(days)), F.col("as_of"))
+    wanted = calendar.select("as_of", F.explode(before).alias("report_date"))
+    stored = read_table(spark, root, schemas.CATEGORY_CONVERSION)
+    return stored.join(wanted, "report_date").select(
+        F.col("as_of").cast("string").alias("as_of"),
+        F.col("report_date").cast("string").alias("date"),
+        "category",
+        F.col("conversion_rate").cast("double").alias("conversion_rate"),
+    )
+
+
 def rejected_path(root: str) -> str:
     return f"{root.rstrip('/')}/{schemas.FLASH_SALE_ALERTS.name}_rejected"
 
