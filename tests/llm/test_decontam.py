@@ -3,7 +3,11 @@ import re
 
 from support import make_docs, make_table  # noqa: F401
 
+import duckdb
+
 from trolley.llm import decontam
+from trolley.llm.decontam import contained_items
+from trolley.llm.queries import ORACLE
 
 
 def brute(docs, items, share=0.8):
@@ -83,3 +87,24 @@ def test_empty_tables(make_docs, make_table):
     assert decontam.contained_items(docs, items.limit(0)).count() == 0
     assert decontam.without_contaminated(docs, items.limit(0)).count() == 2
     assert [row.doc_id for row in decontam.without_contaminated(docs, items).collect()] == [2]
+
+
+def test_the_sql_has_short_items_too(make_docs, make_table, tmp_path):
+    docs = make_docs(
+        (1, "red fox today"), (2, "a red fox today and more words"), (3, "red fox"), (4, ""),
+        (5, "one two three four five six"), (6, None), (7, "fox"),
+    )
+    items = [(7, "red fox today"), (8, "fox"), (9, "one two three four five"), (10, ""),
+             (11, "one two three four"), (12, "one two three four five six")]
+    benchmark = make_table("item_id bigint, text string", *items)
+    found = {tuple(row) for row in contained_items(docs, benchmark).collect()}
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    with duckdb.connect() as database:
+        for name in ("documents", "benchmark"):
+            database.execute(
+                f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'"
+            )
+        rows = database.execute(ORACLE["op5_decontamination"]).fetchall()
+    assert {tuple(row) for row in rows} == found
+    assert {(1, 7, 1.0), (2, 7, 1.0), (7, 8, 1.0), (5, 9, 1.0), (5, 11, 1.0)} <= found

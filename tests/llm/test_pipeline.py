@@ -6,10 +6,12 @@ from support import make_docs, make_table  # noqa: F401
 from test_decontam import brute as contained
 from test_line_dedup import brute as without_lines
 from test_simhash import brute_fingerprint, near_groups
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trolley.llm import quality
+from trolley.llm import line_dedup, quality
 from trolley.llm.queries import REGISTERED, _learning_labels
+from trolley.llm.shared import written
 
 
 def tables(spark, make_docs, make_table, path):
@@ -74,6 +76,44 @@ def test_stages_keep_the_columns_of_documents(spark, make_docs, make_table, tmp_
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+CLASHING = (
+    "n_lines", "N_DROPPED", "quality_score", "Quality_Score_", "a.b", "x`y", "row", "doc", "held",
+    "lines", "leader", "fp", "shard", "key", "n", "score", "line", "u", "v", "h1", "item_id", "ids",
+)
+
+
+def test_extra_columns_of_any_name_stay(spark, make_docs, make_table, tmp_path):
+    tables(spark, make_docs, make_table, tmp_path)
+    plain = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    extra = plain.select("*", *[F.col("doc_id").alias(name) for name in CLASHING])
+    folder = tmp_path / "extra"
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    extra.write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, docs, str(folder)), name)
+        assert out.columns == docs.columns
+        for row in out.collect():
+            assert set(tuple(row)[5:]) == {row[0]}
+        docs = out
+    want = {row.doc_id: row.ids for row in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    got = {row.doc_id: row.ids for row in corpus_pipeline.run(spark, str(folder)).collect()}
+    assert got == want
+
+
+def test_counts_take_the_place_of_columns_of_their_name(spark, make_docs):
+    docs = make_docs((1, "one long line\nx"), (2, "one long line\ny"))
+    clashing = docs.withColumn("N_LINES", F.lit("mine")).withColumn("a.b", F.lit(5))
+    kept = line_dedup.drop_repeated_lines(clashing)
+    assert kept.columns == [*docs.columns, "a.b", "n_lines", "n_dropped"]
+    rows = {r[0]: (r.text, r["a.b"], r.n_lines, r.n_dropped) for r in kept.collect()}
+    assert rows == {1: ("one long line\nx", 5, 2, 0), 2: ("y", 5, 2, 1)}
+    whole = line_dedup.with_shorter_texts(clashing)
+    assert whole.columns == clashing.columns
+    assert {r.N_LINES for r in whole.collect()} == {"mine"}
+
+
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in REGISTERED)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from trolley.llm import queries
 from trolley.llm.word_runs import collapsed, periodic_runs, runs_of, suffix_order, words_of
-from tests.llm.support import by_id, make_docs  # noqa: F401
+from support import by_id, make_docs  # noqa: F401
 
 import numpy as np
 import re

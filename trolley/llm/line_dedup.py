@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.shared import slices, text_of
+from trolley.llm.shared import slices, text_of, whole_row
 
 HOT_PARTS = 20_000
 LINES_PER_SHARD = 100_000
@@ -268,11 +268,28 @@ def _unpacked_columns(data: bytes) -> np.ndarray:
     return probes
 
 
+COUNTS = ("n_lines", "n_dropped")
+
+
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with shortened texts and the columns n_lines and n_dropped."""
-    for name in ("n_lines", "n_dropped"):
-        if name in docs.columns:
-            raise ValueError(f"{name} is a column of the table already")
+    """``docs`` with shortened texts and the columns n_lines and n_dropped.
+
+    Columns of ``docs`` with one of these names, in upper or lower case, are left out for them;
+    ``with_shorter_texts`` keeps them.
+    """
+    rows, columns = _dropped(docs)
+    own = [column for name, column in zip(docs.columns, columns) if name.lower() not in COUNTS]
+    return rows.select(*own, *COUNTS)
+
+
+def with_shorter_texts(docs: DataFrame) -> DataFrame:
+    """``docs``, all of its columns, with shortened texts."""
+    rows, columns = _dropped(docs)
+    return rows.select(*columns)
+
+
+def _dropped(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Rows with the counts of lines, and on them the columns of ``docs`` with shorter texts."""
     spark = docs.sparkSession
     # Three jobs read it; what is lost with an executor is computed again.
     repeated = repeated_lines(docs).persist(StorageLevel.DISK_ONLY)
@@ -333,11 +350,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     return _without(docs, drops)
 
 
-def _without(docs: DataFrame, drops: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, drops: DataFrame) -> tuple[DataFrame, list[Column]]:
     """Texts without the lines at the places in ``drops`` (doc, row, lines)."""
-    held = docs.select(
-        F.struct(*docs.columns).alias("held"), *_row_key("doc_id", text_of())
-    )
+    held = docs.select(whole_row(docs, "held"), *_row_key("doc_id", text_of()))
     met = held.join(drops, ["doc", "row"], "left")
 
     @F.pandas_udf("string")
@@ -359,8 +374,10 @@ def _without(docs: DataFrame, drops: DataFrame) -> DataFrame:
         rest.alias(c) if c == "text" else F.col("held").getField(c).alias(c)
         for c in docs.columns
     ]
-    return met.select(
-        *columns,
+    counted = met.select(
+        "held",
+        "lines",
         F.size(F.split(text, "\n")).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
+    return counted, columns

@@ -208,9 +208,12 @@ def scored(known_statistics: DataFrame, model: Discriminant) -> DataFrame:
 def with_quality(
     docs: DataFrame, model: Discriminant, score: str = "quality_score"
 ) -> DataFrame:
-    """All columns of ``docs`` and the score of each text in a column named ``score``."""
-    if score in docs.columns:
-        raise ValueError(f"{score} is a column of the table already")
+    """All columns of ``docs`` and the score of each text in a column named ``score``.
+
+    Columns of that name, in upper or lower case, are left out for it.
+    """
+    clashing = [name for name in docs.columns if name.lower() == score.lower()]
+    docs = docs.drop(*clashing)
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

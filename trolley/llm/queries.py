@@ -263,14 +263,23 @@ WITH words AS (
   SELECT 1, item_id,
     regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') FROM benchmark
 ),
-shingles AS (
-  SELECT DISTINCT kind, id, unnest(
-    list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-  ) AS shingle FROM words
+sized AS (
+  SELECT id, w, least(5, len(w)) AS k FROM words WHERE kind = 1 AND len(w) > 0
 ),
-sizes AS (SELECT id AS item_id, count(*) AS n FROM shingles WHERE kind = 1 GROUP BY id)
+item_shingles AS (
+  SELECT DISTINCT id, k, unnest(
+    list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))
+  ) AS shingle FROM sized
+),
+-- An item of fewer words is one shingle of all of them.
+doc_shingles AS (
+  SELECT DISTINCT id, k, unnest(
+    list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))
+  ) AS shingle FROM words, (SELECT DISTINCT k FROM sized) WHERE kind = 0
+),
+sizes AS (SELECT id AS item_id, count(*) AS n FROM item_shingles GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, count(*) / any_value(n) AS containment
-FROM shingles d JOIN shingles i ON d.shingle = i.shingle AND d.kind = 0 AND i.kind = 1
+FROM doc_shingles d JOIN item_shingles i ON d.shingle = i.shingle AND d.k = i.k
 JOIN sizes ON sizes.item_id = i.id
 GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
 """,

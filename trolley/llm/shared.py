@@ -33,6 +33,24 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame, name: str) -> Column:
+    """All columns of ``df`` as one struct, so that none clashes with those of an operator."""
+    return F.struct(*map(quoted, df.columns)).alias(name)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one made of it that no column of ``df`` has, in upper or lower case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the session names.
 

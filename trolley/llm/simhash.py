@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.components import components
-from trolley.llm.shared import slices, text_of, written
+from trolley.llm.shared import slices, text_of, written, whole_row
 
 HALF = 31
 SHIFTS = (0, 32)
@@ -308,7 +308,7 @@ def first_of_each_group(docs: DataFrame, words_per_shingle: int = 3, most: int =
     leaders = found.where(F.col("doc_id") == F.col("component_id")).select(
         F.col("component_id").alias("leader")
     ).distinct()
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("leader"))
+    held = docs.select(whole_row(docs, "row"), F.col("doc_id").cast("bigint").alias("leader"))
     kept = (
         held.join(leaders, "leader", "left_semi")
         .groupBy("leader")
