@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 
 from trolley.llm import bpe, decontam, line_dedup, quality, simhash
 from trolley.llm.queries import TOKENIZER, _learning_labels
-from trolley.llm.shared import read_table, shipped, work_path
-
-QUALITY_SCORE = "quality_score_of_stage"
+from trolley.llm.shared import free_name, read_table, shipped, work_path
 
 
 @shipped
@@ -23,14 +21,14 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that the quality classifier does not reject; it learns as its query does."""
     labels = _learning_labels(spark, sf_dir, "quality")
     model = quality.fit(quality.document_statistics(docs), labels)
-    scored = quality.with_quality(docs, model, QUALITY_SCORE)
-    return scored.where(F.col(QUALITY_SCORE) >= 0.3).drop(QUALITY_SCORE)
+    score = free_name(docs, "quality_score")
+    return quality.with_quality(docs, model, score).where(F.col(score) >= 0.3).drop(score)
 
 
 @shipped
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that another one with a smaller id holds."""
-    return line_dedup.drop_repeated_lines(docs).select(*docs.columns)
+    return line_dedup.with_shorter_texts(docs)
 
 
 @shipped
