@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
-A chunk is a marked word: the whitespace markers before it and its letters. No piece of the
-vocabulary has a marker behind a letter, so no merge crosses from one chunk into the next, and the
-ids of a text are those of its chunks in order. Each distinct chunk is therefore segmented
+A chunk is a marked word: the whitespace markers before it and its letters, or its signs. No piece
+of the vocabulary has a marker behind a letter, or letters and signs, so no merge crosses from one
+chunk into the next, and the ids of a text are those of its chunks in order. (What a piece never has
+is read off the vocabulary; where letters and signs do mix, chunks end at markers alone.) Each distinct chunk is therefore segmented
 once: Spark counts the chunks of all texts and segments the distinct frequent ones as rows of a
 table; a bounded part of it, of short and frequent chunks, goes to the tasks. A task numbers the
 chunks of a slice, segments those that the table lacks once each, and joins the ids back by
@@ -43,6 +44,7 @@ STEPS = 16
 #: Longer chunks are merged with a heap.
 FEW = 40
 UNKNOWN_TEXT = " ⁇ "
+NONE = float("-inf")
 
 
 def _each_byte(error: UnicodeError) -> tuple[str, int]:
@@ -80,9 +82,7 @@ class Pieces:
         self.controls = {i for i in numbers if model.is_control(i)}
         # A blank in front of these is no marker.
         self.plain = {self.bytes_at[32], self.unknown}
-        # A line feed that no piece holds ends a chunk as well.
-        alone = "" if any("\n" in name for name in self.ids) else "\n"
-        self.chunk_pattern = (f"{alone}+|" if alone else "") + f" *[^ {alone}]+| +"
+        self.chunk_pattern = re.compile(self._pattern())
 
     def _check(self, model) -> None:
         for name in self.ids:
@@ -94,11 +94,36 @@ class Pieces:
         if model.normalize(probe) != (" " + probe).replace(" ", MARKER):
             raise ValueError("a model that leaves texts as they are is needed")
 
+    def _pattern(self) -> str:
+        """What a chunk is: blanks and what follows them, up to where no piece goes on.
+
+        That is the next blank; a line feed, if no piece holds one; and the change from letters to other
+        signs or back, if no piece has both. Letters that stand next to other signs in some piece
+        count as signs.
+        """
+        others = "" if any("\n" in name for name in self.ids) else "\n"
+        bare = [name.lstrip(MARKER) for name in self.ids]
+        letters, strange = re.compile(r"[^\W\d_]"), set()
+        while True:
+            mixed = set()
+            for name in bare:
+                kinds = [bool(letters.match(c)) and c not in strange for c in name]
+                if len({*kinds}) > 1:
+                    mixed |= {c for c, letter in zip(name, kinds) if letter}
+            if not mixed:
+                break
+            strange |= mixed
+        ends = f"{others}+|" if others else ""
+        if len(strange) > 50:  # nothing to gain
+            return f"{ends} *[^ {others}]+| +"
+        more = re.escape("".join(sorted(strange)))
+        return rf"{ends} *[^\W\d_{more}]+| *(?:[^\w {others}]|[\d_{more}])+| +"
+
     def chunks(self, text: str) -> list[str]:
         """The chunks of a text in order, with blanks as markers."""
         if not text:
             return []
-        return re.findall(self.chunk_pattern, " " + text.replace(MARKER, " "))
+        return self.chunk_pattern.findall(" " + text.replace(MARKER, " "))
 
     def segmented(self, chunk: str) -> list[int]:
         """Ids of one chunk: always the adjacent pair with the best score, leftmost first."""
@@ -115,20 +140,19 @@ class Pieces:
 
     def _few(self, symbols: list[str]) -> list[str]:
         score = self.scores.get
-        values = [score(a + b) for a, b in zip(symbols, symbols[1:])]
-        while True:
-            best, at = None, -1
-            for i, value in enumerate(values):
-                if value is not None and (best is None or value > best):
-                    best, at = value, i
-            if at < 0:
-                return symbols
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-            del values[at]
+        values = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while values:
+            best = max(values)
+            if best == NONE:
+                break
+            at = values.index(best)
+            symbols[at] += symbols[at + 1]
+            del symbols[at + 1], values[at]
             if at:
-                values[at - 1] = score(symbols[at - 1] + symbols[at])
+                values[at - 1] = score(symbols[at - 1] + symbols[at], NONE)
             if at < len(values):
-                values[at] = score(symbols[at] + symbols[at + 1])
+                values[at] = score(symbols[at] + symbols[at + 1], NONE)
+        return symbols
 
     def _many(self, symbols: list[str]) -> list[str]:
         """The same with a heap and links, for long chunks."""
