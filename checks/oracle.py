@@ -411,6 +411,7 @@ FROM windowed WHERE epoch_ms(window_end) <=
   (SELECT epoch_ms(max(event_timestamp)) - 600000 FROM ev)""",
 }
 ORACLE["stream_flash_sale_alerts"] = ORACLE["flash_sale_alerts"]
+ORACLE["upsert_segments_by_key"] = ORACLE["upsert_user_segments"]
 ORACLE["user_action_sets_of_bits"] = ORACLE["user_action_sets"]
 ORACLE["daily_summary_pieces"] = ORACLE["daily_summary_doc"]
 for _name, _test in (("events_of_buyers", "IN"), ("events_without_buyers", "NOT IN")):

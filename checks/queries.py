@@ -6,6 +6,7 @@ can be compared without regard to its dates, decimals and nested values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from trolley.operators.ranking import GROUP_LIMIT_SETTING
 from trolley.plans.daily import daily_results, store
 from trolley.session import scratch_path, stage
 from trolley.settings import Settings
-from trolley.sinks import kafka
+from trolley.sinks import bucketed, kafka
 from trolley.sinks.documents import read_documents, write_summary_pieces
 from trolley.sinks.event_logs import append_event_log, start_event_log
 from trolley.sinks.tables import create_tables, staged, upsert
@@ -506,6 +507,20 @@ def upsert_user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def upsert_segments_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a table by bucket of the user, whose stored rows stay where they are."""
+    table = schemas.USER_SEGMENTS
+    events = read_shop_events(spark, sf_dir)
+    root = scratch_path(spark, "bucketed-tables")
+    database = f"checks_{uuid.uuid4().hex}"
+    name = bucketed.create_bucketed(spark, root, database, table, 4)
+    early, whole = _segment_rows(arrived_early(events)), _segment_rows(events)
+    for rows, now in ((early, FIRST_LOAD), (whole, SECOND_LOAD)):
+        bucketed.upsert_bucketed(stage(rows, "segments"), name, table, moment(now))
+    return plain(spark.table(name))
+
+
 @register
 def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment rows made straight from events: repeated, missing, wrong, long."""

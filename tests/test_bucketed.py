@@ -1,0 +1,93 @@
+"""Tables by bucket of their key."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from trolley import schemas
+from trolley.operators.merge import merge_upsert
+from trolley.sinks import bucketed, tables
+
+TABLE = schemas.USER_SEGMENTS
+
+
+def segments(spark, first, last, day=1, segment="buyer"):
+    return spark.range(first, last).select(
+        F.lit(datetime.date(2024, 1, day)).alias("report_date"),
+        F.format_string("user_%d", "id").alias("user_id"),
+        F.lit(segment).alias("segment"),
+    )
+
+
+@pytest.fixture
+def name(spark, tmp_path):
+    yield bucketed.create_bucketed(spark, str(tmp_path / "tables"), "keyed", TABLE, 4)
+    spark.sql("DROP DATABASE keyed CASCADE")
+
+
+def at(day):
+    return F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp")
+
+
+def load(rows, name, day):
+    bucketed.upsert_bucketed(tables.stage(rows, "rows"), name, TABLE, at(day))
+
+
+def rows_of(df):
+    return sorted((r.report_date.day, r.user_id, r.segment, r.created_at.day) for r in df.collect())
+
+
+def test_same_rows_as_the_plain_merge(spark, name, tmp_path):
+    load(segments(spark, 0, 300).unionAll(segments(spark, 0, 50, day=2)), name, 1)
+    second = segments(spark, 250, 400, segment="window_shopper").unionAll(segments(spark, 0, 5, day=3))
+    before = tables.stage(spark.table(name), "before")
+    want = merge_upsert(before, second, TABLE.key, TABLE.updated, TABLE.stamp, at(2))
+    for _ in range(2):  # again as after a failure
+        load(second, name, 2)
+        assert rows_of(spark.table(name)) == rows_of(want)
+    assert [t.name for t in spark.catalog.listTables("keyed")] == ["user_segments_by_key"]
+
+
+def test_each_day_has_one_file_a_bucket(spark, name, tmp_path):
+    for day in (1, 2, 3):
+        load(segments(spark, 0, 200 * day), name, day)
+    files = list((tmp_path / "tables").rglob("report_date=2024-01-01/*.parquet"))
+    assert len(files) == 4
+    load(segments(spark, 0, 3, day=2), name, 4)
+    assert sorted(files) == sorted((tmp_path / "tables").rglob("report_date=2024-01-01/*.parquet"))
+
+
+def test_a_merge_moves_only_the_new_rows(spark, name):
+    load(segments(spark, 0, 1000), name, 1)
+    few = tables.stage(segments(spark, 990, 1010), "few")
+    with bucketed.set_for(spark, bucketed.LAYOUT):
+        merged = bucketed.merged_buckets(few, name, TABLE, [datetime.date(2024, 1, 1)], at(2))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    depth = [len(line) - len(line.lstrip(" +-:")) for line in lines]
+    # From the scan of the stored rows up to the join.
+    way, level = [], depth[scan]
+    for i in range(scan - 1, join - 1, -1):
+        if depth[i] < level:
+            way.append(lines[i])
+            level = depth[i]
+    assert way and not any("Exchange" in line for line in way)
+    assert "Exchange" in plan  # of the new ones
+    assert merged.count() == 1010
+
+
+def test_rules_are_kept(spark, name):
+    load(segments(spark, 0, 10), name, 1)
+    with pytest.raises(tables.ConstraintViolation, match="not allowed"):
+        load(segments(spark, 0, 3, segment="other"), name, 2)
+    twice = segments(spark, 0, 3).unionAll(segments(spark, 2, 3))
+    with pytest.raises(tables.ConstraintViolation, match="not unique"):
+        load(twice, name, 2)
+    assert spark.table(name).where("created_at > TIMESTAMP'2024-02-01 00:00:00'").count() == 0
+    load(segments(spark, 0, 0), name, 3)
+    assert spark.table(name).count() == 10
+    with pytest.raises(ValueError, match="besides its day"):
+        bucketed.bucket_columns(schemas.DAILY_SUMMARY)
