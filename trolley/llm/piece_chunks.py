@@ -44,7 +44,10 @@ STEPS = 16
 #: Longer chunks are merged with a heap.
 FEW = 40
 UNKNOWN_TEXT = " ⁇ "
-NONE = float("-inf")
+#: Symbols from here on are letters that no piece has, by code point; two make a pair.
+OTHER = 1 << 20
+BASE = 1 << 22
+NEVER = 1 << 40
 
 
 def _each_byte(error: UnicodeError) -> tuple[str, int]:
@@ -83,6 +86,7 @@ class Pieces:
         # A blank in front of these is no marker.
         self.plain = {self.bytes_at[32], self.unknown}
         self.chunk_pattern = re.compile(self._pattern())
+        self._pair_up()
 
     def _check(self, model) -> None:
         for name in self.ids:
@@ -94,6 +98,36 @@ class Pieces:
         if model.normalize(probe) != (" " + probe).replace(" ", MARKER):
             raise ValueError("a model that leaves texts as they are is needed")
 
+    def _symbol(self, text: str) -> int | None:
+        """The number of a piece, or of a letter that is none; other texts are no symbols."""
+        number = self.ids.get(text)
+        return OTHER + ord(text) if number is None and len(text) == 1 else number
+
+    def _pair_up(self) -> None:
+        """All pairs of symbols that make a piece, with the piece and the place of its score."""
+        places = {v: i for i, v in enumerate(sorted({*self.scores.values()}, reverse=True))}
+        pairs = {}
+        for name, number in self.ids.items():
+            for k in range(1, len(name)):
+                left, right = self._symbol(name[:k]), self._symbol(name[k:])
+                if left is not None and right is not None:
+                    pairs[left * BASE + right] = places[self.scores[name]], number
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        found = [pairs[key] for key in self.pair_keys.tolist()]
+        self.pair_places, self.pair_pieces = np.array(found, np.int64).reshape(-1, 2).T.copy()
+        self.letters = np.arange(OTHER, OTHER + 0x110000, dtype=np.int32)
+        for name, number in self.ids.items():
+            if len(name) == 1:
+                self.letters[ord(name)] = number
+        self.letters[32] = self.letters[ord(MARKER)]
+
+    def _paired(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the score, and piece, of pairs of symbols; the place NEVER if they make none."""
+        keys = left * BASE + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        hit = self.pair_keys[at] == keys
+        return np.where(hit, self.pair_places[at], NEVER), self.pair_pieces[at]
+
     def _pattern(self) -> str:
         """What a chunk is: blanks and what follows them, up to where no piece goes on.
 
@@ -127,35 +161,86 @@ class Pieces:
 
     def segmented(self, chunk: str) -> list[int]:
         """Ids of one chunk: always the adjacent pair with the best score, leftmost first."""
+        return self.segmented_all([chunk])[0].tolist()
+
+    def segmented_all(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of several chunks in a row, and how many each has."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        long = np.flatnonzero(sizes > FEW).tolist()
+        short = chunks if not long else [c if len(c) <= FEW else "" for c in chunks]
+        symbols, owners = self._together(short, np.where(sizes > FEW, 0, sizes))
+        if long:
+            own = [[self._symbol(part) for part in self._many(chunks[i])] for i in long]
+            owners = np.concatenate([owners, np.repeat(long, list(map(len, own)))])
+            symbols = np.concatenate([symbols, *(np.array(part, np.int64) for part in own)])
+        order = np.argsort(owners, kind="stable")
+        return self._with_bytes(symbols[order], owners[order], len(chunks))
+
+    def _together(self, chunks: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols after all merges, and the chunk of each.
+
+        All chunks take part at once: in each round every chunk merges its best pair, leftmost
+        first, and those without one leave.
+        """
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbols = self.letters[codes].astype(np.int64)
+        owners = np.repeat(np.arange(len(chunks)), sizes)
+        done = []
+        places = np.full(len(symbols), NEVER)
+        pieces = np.zeros(len(symbols), np.int64)
+        inner = np.flatnonzero(owners[1:] == owners[:-1])
+        places[inner], pieces[inner] = self._paired(symbols[inner], symbols[inner + 1])
+        while len(symbols):
+            first = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
+            lengths = np.diff(np.append(first, len(symbols)))
+            best = np.repeat(np.minimum.reduceat(places, first), lengths)
+            going = best < NEVER
+            if not going.all():
+                done.append((symbols[~going], owners[~going]))
+                symbols, owners, places = symbols[going], owners[going], places[going]
+                pieces, best = pieces[going], best[going]
+                if not len(symbols):
+                    break
+            at = np.flatnonzero(places == best)
+            at = at[np.concatenate([[True], owners[at[1:]] != owners[at[:-1]]])]
+            symbols[at] = pieces[at]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols, owners = symbols[keep], owners[keep]
+            places, pieces = places[keep], pieces[keep]
+            at = at - np.arange(len(at))  # one symbol has gone from each chunk before
+            changed = np.concatenate([at[at > 0] - 1, at])
+            changed = changed[changed + 1 < len(symbols)]
+            inner = owners[changed] == owners[changed + 1]
+            places[at] = NEVER
+            changed = changed[inner]
+            places[changed], pieces[changed] = self._paired(symbols[changed], symbols[changed + 1])
+        none = np.zeros(0, np.int64)
+        return (
+            np.concatenate([none, *(part for part, _ in done)]),
+            np.concatenate([none, *(part for _, part in done)]),
+        )
+
+    def _with_bytes(
+        self, symbols: np.ndarray, owners: np.ndarray, chunks: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, with letters that no piece has as their bytes, and the number for each chunk."""
+        strange = np.flatnonzero(symbols >= OTHER)
+        if len(strange):
+            bytes_of = {
+                code: [self.bytes_at[b] for b in chr(code).encode("utf-8", "surrogatepass")]
+                for code in np.unique(symbols[strange] - OTHER).tolist()
+            }
+            own = [bytes_of[code] for code in (symbols[strange] - OTHER).tolist()]
+            counts = np.ones(len(symbols), np.int64)
+            counts[strange] = list(map(len, own))
+            symbols, owners = np.repeat(symbols, counts), np.repeat(owners, counts)
+            symbols[symbols >= OTHER] = list(chain.from_iterable(own))
+        return symbols.astype(np.int32), np.bincount(owners, minlength=chunks)
+
+    def _many(self, chunk: str) -> list[str]:
+        """The parts of one long chunk, with a heap and links."""
         symbols = list(chunk.replace(" ", MARKER))
-        parts = self._few(symbols) if len(symbols) <= FEW else self._many(symbols)
-        out = []
-        for part in parts:
-            number = self.ids.get(part)
-            if number is None:
-                out += [self.bytes_at[b] for b in part.encode()]
-            else:
-                out.append(number)
-        return out
-
-    def _few(self, symbols: list[str]) -> list[str]:
-        score = self.scores.get
-        values = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
-        while values:
-            best = max(values)
-            if best == NONE:
-                break
-            at = values.index(best)
-            symbols[at] += symbols[at + 1]
-            del symbols[at + 1], values[at]
-            if at:
-                values[at - 1] = score(symbols[at - 1] + symbols[at], NONE)
-            if at < len(values):
-                values[at] = score(symbols[at] + symbols[at + 1], NONE)
-        return symbols
-
-    def _many(self, symbols: list[str]) -> list[str]:
-        """The same with a heap and links, for long chunks."""
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap: list[tuple[float, int, int]] = []
@@ -224,15 +309,24 @@ class Encoder:
             np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
             for chunks in map(self.pieces.chunks, texts)
         ]
-        known, segmented = self.table.get, self.pieces.segmented
-        rows = [known(chunk) or segmented(chunk) for chunk in number]
-        # The end of a text is a chunk of its own, behind all others.
-        rows.append([self.pieces.end])
-        end = np.array([len(number)])
+        chunks = list(number)
+        rows = [*map(self.table.get, chunks)]
+        unseen = [i for i, row in enumerate(rows) if row is None]
+        ids, counts = self.pieces.segmented_all([chunks[i] for i in unseen])
+        held = [row for row in rows if row is not None]
+        # First what the table has, then what it lacks; the end of a text is a chunk as well.
+        sizes = np.ones(len(rows) + 1, np.int64)
+        seen = np.ones(len(rows), bool)
+        seen[unseen] = False
+        sizes[:-1][seen] = list(map(len, held))
+        sizes[unseen] = counts
+        known = np.fromiter(chain.from_iterable(held), np.int32, int(sizes[:-1][seen].sum()))
+        flat = np.concatenate([known, ids, np.array([self.pieces.end], np.int32)])
+        order = np.concatenate([np.flatnonzero(seen), np.array(unseen, np.int64), [len(rows)]])
+        starts = np.empty(len(sizes), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        end = np.array([len(rows)])
         every = np.concatenate([part for own in codes for part in (own, end)] or [end[:0]])
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum()))
-        starts = np.cumsum(sizes) - sizes
         lengths = sizes[every]
         stops = np.cumsum(lengths)
         total = int(stops[-1]) if len(stops) else 0
@@ -290,10 +384,10 @@ def chunk_table(docs: DataFrame, path: str, most: int = FREQUENT) -> DataFrame:
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [pieces.value.segmented(c) for c in batch.column("chunk").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=["chunk", "n", "ids"]
-            )
+            flat, counts = pieces.value.segmented_all(batch.column("chunk").to_pylist())
+            edges = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            ids = pa.ListArray.from_arrays(edges, pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=["chunk", "n", "ids"])
 
     frequent = counted.where(F.lit(False) if least is None else F.col("step") >= least)
     return written(
