@@ -27,6 +27,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,9 @@ FREQUENT_WORDS = 1 << 16
 #: Steps of the histogram of counts for each doubling.
 STEPS = 16
 #: Distinct words that a task counts at once.
-COUNTED = 500_000
+COUNTED = 250_000
 _NONE = 1 << 30
-PART_CHARS = 4 << 20
+PART_CHARS = 2 << 20
 #: The one Latin letter here that has two in lower case.
 _DOTTED = "\u0130"
 #: Below this letter, lower case and letters are plain ranges.
@@ -438,6 +439,8 @@ def encoded(docs: DataFrame, path: str, most: int = FREQUENT_WORDS) -> DataFrame
                         "decoded": [vocabulary.decoded(own) for own in ids],
                     }
                 )
+            # A worker lives on with other tasks: what a batch has taken goes back.
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     return rows.mapInPandas(encode, "doc_id bigint, ids array<int>, decoded string")
