@@ -100,6 +100,48 @@ def test_ratios_are_those_of_counted_pairs(spark):
         assert math.isclose(ratios[code[first] * size + code[second]], expected, abs_tol=1e-12)
 
 
+def test_random_spans_share_no_character_with_base_spans(make_docs):
+    rng = random.Random(3)
+    pieces = [
+        "password=", "token : ", "secret", "\x01", " ", "\n", "é", "AKIA", "deadbeef" * 4,
+        random_string(rng, 24), random_string(rng, 21), "+/", ".", "=", '"', "ab",
+    ]
+    rows = [(i, "".join(rng.choices(pieces, k=rng.randint(1, 14)))) for i in range(400)]
+    found = secret_scan.with_random_spans(
+        secret_scan.base_spans(make_docs(*rows, parts=3)),
+        [1.0] * (len(secret_scan.CHARACTERS) + 1) ** 2,
+    ).collect()
+    expected, kept = {}, 0
+    for i, text in rows:
+        base = [span for spans in brute_base(text).values() for span in spans]
+        tokens = [m.span() for m in re.finditer(secret_scan.TOKEN, text)]
+        expected[i] = [t for t in tokens if not any(a < t[1] and t[0] < b for a, b in base)]
+        kept += len(expected[i])
+    assert kept > 100
+    assert {r.doc_id: [(s.first, s["last"]) for s in r.random] for r in found} == expected
+
+
+def test_samples_are_of_all_documents(make_docs):
+    rows = [(i % 7, f"reading é a token=abcdefgh{i:04d} {'deadbeef' * 4}") for i in range(3000)]
+    samples = secret_scan.labelled_samples(make_docs(*rows, (None, None), (1, ""), parts=3))
+    found = {(r.secret, r.token): r["count"] for r in samples.groupBy("secret", "token").count().collect()}
+    assert found.pop((False, "reading")) == found.pop((True, "deadbeef" * 4)) == 3000
+    assert found == {(True, f"abcdefgh{i:04d}"): 1 for i in range(3000)}
+
+
+def test_many_spans_in_one_text(make_docs):
+    rng = random.Random(4)
+    n = 6000
+    text = " ".join(f"token={random_string(rng, 12)} {random_string(rng, 24)}" for _ in range(n))
+    ordinary = [(i + 2, text) for i, text in corpus(rng, 200)]
+    found = secret_scan.scanned(make_docs((1, text), *ordinary)).where("doc_id = 1")
+    row = found.collect()[0]
+    assert [(s.first, s["last"]) for s in row.assign] == brute_base(text)["assign"]
+    tokens = [m.span() for m in re.finditer(r"(?<= )[A-Za-z0-9]{24}", text)]
+    found = [(s.first, s["last"]) for s in row.random]
+    assert found == sorted(found) and set(found) <= set(tokens) and len(found) > 0.9 * n
+
+
 def test_digests_of_the_query(spark, make_docs, tmp_path):
     rows = [(i, t) for i, t in enumerate(texts()) if t is None or len(t) < 1000]
     make_docs(*rows).write.parquet(str(tmp_path / "documents.parquet"))

@@ -4,9 +4,10 @@ Base spans are what three patterns find. The method adds spans of kind ``random`
 tokens whose characters follow each other as in random strings rather than as in
 ordinary identifiers. Two Markov models of order one are learned, one from samples that are
 labelled secret (the values of base spans), one from samples labelled ordinary (words and
-identifiers outside of them); a token is a secret if the log-likelihood ratio per
+identifiers outside of them), both of all documents; a token is a secret if the log-likelihood ratio per
 character passes a threshold. All of it is built-in functions: positions come from cutting a
-text at a pattern and adding up the lengths of the pieces.
+text at a pattern and adding up the lengths of the pieces. The time of a text grows with its
+length, however many spans it has.
 
 A null text is an empty text. Rows are scanned each for itself, whatever their ids; other
 columns are not looked at. Where the samples hold no secret, random strings are taken
@@ -17,11 +18,12 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.llm.shared import bounded_sample, text_of
+from trolley.llm.shared import text_of
 
 # The base patterns, and the fewest characters of a match or its value.
 ASSIGN = (
@@ -40,33 +42,40 @@ TOKEN, FEWEST_TOKEN = "[A-Za-z0-9+/_=-]{20,}", 20
 #: Ordinary samples: words and identifiers that are too short to be judged, so that what
 #: is judged is not learned from.
 ORDINARY = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{4,19}(?![A-Za-z0-9+/_=-])"
-#: At most about so many documents are looked at for samples of each label.
-SECRET_DOCUMENTS, ORDINARY_DOCUMENTS = 20_000, 2_000
 #: Natural log units per character by which a token has to look more random.
 THRESHOLD = 0.5
 #: Pairs that the frequency of the second character counts for.
 SMOOTHING = 20.0
 _SIZE = len(CHARACTERS) + 1
 _SPANS = "array<struct<kind:string,first:int,last:int,value:string>>"
+#: Spans are gathered in groups of so many, as appending copies the array.
+_GROUP = 256
+#: Stands for a character of a token within a base span.
+_COVERED = "\x01"
 
 
 def _none() -> Column:
     return F.array().cast(_SPANS)
 
 
-def _spans(text: Column, pattern: str, kind: str, fewest: int, group: int = 0) -> Column:
-    """The matches that have ``fewest`` characters in ``group``, in order.
-
-    The text is cut at all matches; each stands after the pieces and matches before it.
-    """
+def _parts(text: Column, pattern: str, group: int = 0) -> Column:
+    """The pieces between the matches, each with the match behind it (the last: null)."""
     wholes = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else wholes
-    parts = F.arrays_zip(
+    return F.arrays_zip(
         F.split(text, pattern, -1).alias("piece"),
         wholes.alias("whole"),
         values.alias("value"),
     )
-    start = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
+
+
+def _placed(parts: Column, kind: str, wanted: Callable[[Column], Column]) -> Column:
+    """The matches that are ``wanted``, in order; each stands after what is before it."""
+    start = F.struct(
+        F.lit(0).alias("at"),
+        _none().alias("open"),
+        F.array().cast(f"array<{_SPANS}>").alias("full"),
+    )
 
     def add(acc: Column, part: Column) -> Column:
         first = acc["at"] + F.length(part["piece"])
@@ -78,12 +87,29 @@ def _spans(text: Column, pattern: str, kind: str, fewest: int, group: int = 0) -
             last.alias("last"),
             part["value"].alias("value"),
         )
-        spans = F.when(
-            F.length(part["value"]) >= fewest, F.concat(acc["spans"], F.array(span))
-        ).otherwise(acc["spans"])
-        return F.struct(last.alias("at"), spans.alias("spans"))
+        take = wanted(part)
+        fills = take & (F.size(acc["open"]) >= _GROUP)
+        return F.struct(
+            last.alias("at"),
+            F.when(fills, F.array(span))
+            .when(take, F.concat(acc["open"], F.array(span)))
+            .otherwise(acc["open"])
+            .alias("open"),
+            F.when(fills, F.concat(acc["full"], F.array(acc["open"])))
+            .otherwise(acc["full"])
+            .alias("full"),
+        )
 
-    found = F.aggregate(parts, start, add, lambda acc: acc["spans"])
+    return F.aggregate(
+        parts, start, add, lambda acc: F.concat(F.flatten(acc["full"]), acc["open"])
+    )
+
+
+def _spans(text: Column, pattern: str, kind: str, fewest: int, group: int = 0) -> Column:
+    """The matches that have ``fewest`` characters in ``group``, in order."""
+    found = _placed(
+        _parts(text, pattern, group), kind, lambda part: F.length(part["value"]) >= fewest
+    )
     return F.when(text.rlike(pattern), found).otherwise(_none())
 
 
@@ -111,39 +137,69 @@ def _pairs(token: Column) -> Column:
     )
 
 
-def _overlaps(first: Column, last: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda s: (s["first"] < last) & (first < s["last"]))
+def _is_free(text: Column, pattern: str, fewest: int, group: int = 0) -> Column:
+    """For each token of the text: it shares no character with a span of this pattern.
+
+    Token characters of the spans are covered by a sign that counts as one, so that the
+    tokens stay where they are.
+    """
+    def clear(piece: Column) -> Column:
+        return F.translate(piece, _COVERED, " ")
+
+    covered = F.transform(
+        _parts(text, pattern, group),
+        lambda part: F.concat(
+            clear(part["piece"]),
+            F.when(
+                F.length(part["value"]) >= fewest,
+                F.translate(part["whole"], CHARACTERS, _COVERED * len(CHARACTERS)),
+            ).otherwise(F.coalesce(part["whole"], F.lit(""))),
+        ),
+    )
+    masked = F.when(text.rlike(pattern), F.array_join(covered, "")).otherwise(clear(text))
+    runs = F.regexp_extract_all(masked, F.lit(TOKEN.replace("[", f"[{_COVERED}", 1)), F.lit(0))
+    return F.transform(runs, lambda run: F.instr(run, _COVERED) == 0)
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(secret, token): samples of both labels from bounded samples of documents.
+    """(secret, token): samples of both labels from all documents.
 
     Secret: the values of base spans. Ordinary: words and identifiers of what is left.
     """
-    held = base_spans(bounded_sample(docs, "doc_id", SECRET_DOCUMENTS))
-    secret = held.select(
-        F.lit(True).alias("secret"),
-        F.explode(F.concat("assign.value", "access.value", "hex.value")).alias("token"),
-    )
-    rest = text_of()
+    text, rest = F.col("text"), F.col("text")
     for pattern in (ASSIGN, LONG_ACCESS, LONG_HEX):
         rest = F.regexp_replace(rest, pattern, " ")
-    ordinary = bounded_sample(docs, "doc_id", ORDINARY_DOCUMENTS).select(
-        F.lit(False).alias("secret"),
-        F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("token"),
+
+    def values(pattern: str, kind: str, group: int = 0) -> Column:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        return F.filter(found, lambda value: F.length(value) >= FEWEST[kind])
+
+    def labelled(tokens: Column, secret: bool) -> Column:
+        return F.transform(
+            tokens, lambda token: F.struct(F.lit(secret).alias("secret"), token.alias("token"))
+        )
+
+    secret = F.concat(
+        values(ASSIGN, "assign", 2), values(LONG_ACCESS, "access"), values(LONG_HEX, "hex")
+    )
+    ordinary = F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))
+    return docs.select(text_of().alias("text")).select(
+        F.inline(F.concat(labelled(secret, True), labelled(ordinary, False)))
     )
-    return secret.unionByName(ordinary)
 
 
 def fit(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios of all pairs of characters, by pair number.
 
-    Spark counts the pairs; the driver gets one row for each pair and label at most.
+    Spark counts the samples, each task those it has seen, and the pairs of each distinct
+    one; the driver gets one row for each pair and label at most.
     """
     counted = (
-        samples.select("secret", F.explode(_pairs(F.col("token"))).alias("pair"))
-        .groupBy("secret", "pair")
+        samples.groupBy("secret", "token")
         .count()
+        .select("secret", F.explode(_pairs(F.col("token"))).alias("pair"), "count")
+        .groupBy("secret", "pair")
+        .agg(F.sum("count").alias("count"))
     )
     counts = {True: [0.0] * _SIZE**2, False: [0.0] * _SIZE**2}
     for row in counted.collect():
@@ -175,18 +231,35 @@ def with_random_spans(
 ) -> DataFrame:
     """``base_spans`` with a column ``random``: tokens outside of them that look random."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    tokens = _spans(F.col("text"), TOKEN, "random", FEWEST_TOKEN)
-    held = F.concat("assign", "access", "hex")
+    text = F.col("text")
+    held = F.arrays_zip(
+        _parts(text, TOKEN).alias("part"),
+        _is_free(text, ASSIGN, FEWEST["assign"], 2).alias("assign"),
+        _is_free(text, LONG_ACCESS, FEWEST["access"]).alias("access"),
+        _is_free(text, LONG_HEX, FEWEST["hex"]).alias("hex"),
+    )
 
-    def is_random(span: Column) -> Column:
+    def looks_random(token: Column) -> Column:
         total = F.aggregate(
-            _pairs(span["value"]), F.lit(0.0), lambda acc, pair: acc + F.get(table, pair)
-        )
-        return (total / (F.length(span["value"]) - 1) > threshold) & ~_overlaps(
-            span["first"], span["last"], held
+            _pairs(token), F.lit(0.0), lambda acc, pair: acc + F.get(table, pair)
         )
-
-    return found.withColumn("random", F.filter(tokens, is_random))
+        return total / (F.length(token) - 1) > threshold
+
+    parts = F.transform(
+        held,
+        lambda x: F.struct(
+            x["part"]["piece"].alias("piece"),
+            x["part"]["whole"].alias("whole"),
+            x["part"]["value"].alias("value"),
+            # The part behind the last token has none.
+            F.coalesce(
+                x["assign"] & x["access"] & x["hex"] & looks_random(x["part"]["value"]),
+                F.lit(False),
+            ).alias("random"),
+        ),
+    )
+    found_spans = _placed(parts, "random", lambda part: part["random"])
+    return found.withColumn("random", F.when(text.rlike(TOKEN), found_spans).otherwise(_none()))
 
 
 def span_text(*kinds: str) -> Column:
