@@ -111,3 +111,11 @@ def test_frequent_words(make_docs):
     docs = make_docs((1, "the the the, a a b"), (2, "the A c"), parts=2)
     assert bpe.frequent_words(docs, PATH, 9)[:2] == ["the", "a"]
     assert set(bpe.frequent_words(docs, PATH, 3)) <= {"the", "a"}
+
+
+def test_long_strings_stay_out_of_the_lexicon(make_docs, library):
+    long = "abc" * 40
+    docs = make_docs((1, f"{long} " * 50 + "the"), (2, "日本語" * 30 + " " + "x" * 64), (3, long))
+    assert set(bpe.frequent_words(docs, PATH)) == {"the", "x" * 64}
+    for row in bpe.encoded(docs, PATH).join(docs, "doc_id").collect():
+        assert row.ids == library.encode(row.text, add_special_tokens=False).ids

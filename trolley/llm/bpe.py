@@ -41,6 +41,8 @@ FREQUENT_WORDS = 1 << 16
 STEPS = 16
 #: Distinct words that a task counts at once.
 COUNTED = 250_000
+#: Code points of a string that may be counted, so that what is collected is bounded.
+LONGEST = 64
 _NONE = 1 << 30
 PART_CHARS = 2 << 20
 #: The one Latin letter here that has two in lower case.
@@ -323,6 +325,7 @@ def frequent_words(
 ) -> list[str]:
     """The pieces of what stands most often between blanks in all texts, ``most`` at most.
 
+    Longer strings than LONGEST are not counted: their words are merged where they occur.
     Every task counts all of its texts and sends what is most frequent; Spark adds up. A
     histogram of the logarithms of the counts tells from which count on there are
     at most ``most`` rows, and only these reach the driver, which splits them into words.
@@ -333,7 +336,8 @@ def frequent_words(
         for frame in frames:
             for part in slices(frame, chars=PART_CHARS):
                 for text in part["text"]:
-                    counts.update(text.lower().split())
+                    words = text.lower().split()
+                    counts.update([word for word in words if len(word) <= LONGEST])
                 if len(counts) > COUNTED:
                     counts = Counter(dict(counts.most_common(COUNTED // 2)))
         best = counts.most_common(most)
