@@ -45,6 +45,26 @@ def test_new_documents_and_their_sentences(make_docs, make_table):
     assert toxicity.scored(make_docs(*rows).limit(0), model).count() == 0
 
 
+def test_the_sample_is_bounded_by_rows(make_docs, make_table):
+    rows = [(i if i % 3 else 7, f"{i}") for i in range(3000)]
+    docs = make_docs(*rows, (None, "x"))
+    labels = make_table("doc_id bigint, label int", *[(i, i % 2) for i in range(4000)], (7, 0))
+    every = toxicity.labelled_rows(docs, labels, 10_000).collect()
+    assert sorted((int(r.text), r.label) for r in every) == [(i, j % 2) for i, (j, _) in enumerate(rows)]
+    assert toxicity.labelled_rows(docs, labels, 300).count() < 420
+    hot = make_docs(*[(7, f"{i}") for i in range(3000)])
+    assert 200 < toxicity.labelled_rows(hot, make_table("doc_id bigint, label int", (7, 1)), 300).count() < 420
+
+
+def test_a_model_of_a_sample(make_docs, make_table):
+    rng = random.Random(2)
+    rows = [(i, document(rng, i % 4 == 0)) for i in range(1200)]
+    labels = make_table("doc_id bigint, label int", *[(i, int(i % 4 == 0)) for i in range(1200)])
+    model = toxicity.fit(make_docs(*rows), labels, most=500)
+    scores = model.score([text for _, text in rows])[0]
+    assert np.mean((scores >= 0.5) == (np.arange(1200) % 4 == 0)) > 0.99
+
+
 def test_scores_are_the_noisy_or_of_sentences(make_docs, make_table):
     model = learned(make_docs, make_table)
     text = "vile ab. cd nasty vile! ef gh"

@@ -5,10 +5,11 @@ holds; the document's is their noisy-or: one minus the product of their compleme
 with a leak for what no sentence tells. Only documents have labels, so the word weights are
 learned from them through the noisy-or, and then locate the offending sentences.
 
-Spark counts, for hashed words, the labelled documents of both classes that hold them; the words
-whose counts differ most are the vocabulary. The weights are fitted on a bounded
-sample (MOST_DOCUMENTS) of the labelled documents; of several labels of one id the largest
-counts. Null and empty texts have no
+All that is learned comes from a sample of the labelled documents, of about ``most`` rows at
+most (a parameter of ``fit``; MOST_DOCUMENTS unless it is given). Spark counts, for hashed words, the
+documents of both classes in it that hold them; the words whose counts differ most are the
+vocabulary, and the weights are fitted on the places of these. Of several labels of one id the
+largest counts; several rows of one id are documents of their own. Null and empty texts have no
 sentence and score the leak. Without labels of both classes every score is the share of
 label 1, or 0.5. Rows are scored each for itself; other columns are not looked at.
 """
@@ -31,6 +32,7 @@ BUCKETS = 1 << 18
 VOCABULARY = 1024
 #: Standard errors by which the shares of documents that hold a word differ at least.
 CONTRAST = 6.0
+#: Labelled rows that are learned from, about and at most.
 MOST_DOCUMENTS = 20_000
 #: A word, or whatever ends a sentence.
 _TOKENS = re.compile(r"[^\W_]+|[.!?\n]+")
@@ -129,20 +131,35 @@ def _known(
     return rows[:, 0], rows[:, 1], rows[:, 2]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> SentenceModel:
-    """Learn from the documents that ``labels`` (doc_id, label 0 or 1) names.
+def labelled_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """(text, label) of about ``most`` labelled rows of ``docs`` at most.
 
-    The driver gets the counts of at most VOCABULARY buckets and, of the sample, the
-    places of known words by sentence.
+    Ids are sampled first, so that few are sent to all tasks, and then rows, if ids that
+    repeat have left more than ``most`` of them.
     """
     known = labels.where(F.col("label").isin(0, 1)).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("label").cast("int").alias("label")
     )
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    known = bounded_sample(known, "doc_id", MOST_DOCUMENTS)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    # About MOST_DOCUMENTS ids at most, each once, so texts need not be shuffled.
-    rows = texts.join(F.broadcast(known), "doc_id").select("text", "label")
+    known = bounded_sample(known, "doc_id", most)
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        text_of().alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    # About ``most`` ids at most, each once, so texts need not be shuffled.
+    rows = texts.join(F.broadcast(known), "doc_id")
+    # A tenth more than meant to be is how samples vary, not ids that repeat.
+    return bounded_sample(rows, "row", most + most // 10).select("text", "label")
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_DOCUMENTS) -> SentenceModel:
+    """Learn from ``labelled_rows``; ``labels`` has doc_id and label, 0 or 1.
+
+    The driver gets the counts of at most VOCABULARY buckets and, of the sample, the
+    places of known words by sentence.
+    """
+    rows = labelled_rows(docs, labels, most)
     holders = rows.mapInPandas(_holders, "label int, place int, n bigint")
     by_place = (
         holders.groupBy("place")
