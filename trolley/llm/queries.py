@@ -113,7 +113,8 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = fold(F.col("doc_id"), 7)
     scores = ctw.scored(read_table(spark, sf_dir, "documents"), rest != 2)
-    return scores.withColumn("held_out", rest == 2)
+    others = [name for name in scores.columns if name != "doc_id"]
+    return scores.select("doc_id", (rest == 2).alias("held_out"), *others)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
