@@ -53,7 +53,7 @@ def test_all_buckets_give_the_exact_result(spark, monkeypatch, block):
     monkeypatch.setattr(ann, "BLOCK", block)
     rows = vectors()
     exact = brute(rows, 10, lambda i: i % 20 == 0)
-    near = found(spark, rows, tables=1, hashes=1, width=1e9, probes=3)
+    near = found(spark, rows, setting=ann.Setting(1, 1, 1e9, 3))
     assert near.keys() == exact.keys()
     for query, expected in exact.items():
         assert [i for i, _ in near[query]] == [i for i, _ in expected]
@@ -72,7 +72,7 @@ def test_recall_of_the_production_parameters(spark):
 
 
 def test_probes_start_at_home_and_go_to_the_nearest_borders():
-    hashing = ann.Hashing.make(8, 1.0)
+    hashing = ann.Hashing.make(8, 1.0, ann.Setting(8, 3, 0.8, 20))
     x = np.random.default_rng(3).normal(size=(50, 8))
     cells = hashing.probed(x, 20)
     place = hashing._cells(np.column_stack([x / np.linalg.norm(x, axis=1, keepdims=True), np.zeros(50)]))
@@ -116,19 +116,50 @@ def check_recall(near, rows, asked, most=20):
 @pytest.mark.parametrize("kind", ["unit", "one long", "log-normal"])
 def test_recall_and_number_with_skewed_norms(spark, kind):
     rows = skewed(kind)
-    assert check_recall(found(spark, rows, 20), rows, range(0, 6000, 20)) > 0.85
+    assert check_recall(found(spark, rows, 20), rows, range(0, 6000, 20)) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["unit", "one long", "log-normal"])
+def test_small_ranges_are_hashed_like_large_ones(spark, kind):
+    rows = skewed(kind, 500, 64)
+    assert check_recall(found(spark, rows, 20), rows, range(0, 500, 20)) >= 0.9
+
+
+def clusters(n=20_000, size=32):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, size))[rng.integers(0, 200, n)] + 0.25 * rng.normal(size=(n, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return [(i, [float(np.float32(v)) for v in row]) for i, row in enumerate(x)]
+
+
+def test_few_rows_are_compared_where_vectors_have_clusters(spark, monkeypatch):
+    taken = []
+    plain = ann.choices
+    monkeypatch.setattr(ann, "choices", lambda *a: taken.append(plain(*a)) or taken[-1])
+    rows = clusters()
+    assert check_recall(found(spark, rows, 20), rows, range(0, 20_000, 20)) >= 0.9
+    ((choice,),) = [c.values() for c in taken]
+    assert choice.recall >= ann.RECALL and choice.compared < 0.4 and choice.setting != ann.WHOLE
+
+
+def test_more_rows_ask_for_fewer_compared_ones():
+    x = np.array([v for _, v in clusters(4000)])
+    near = np.argsort(-(x[:64] @ x.T), axis=1)[:, 1:21].ravel()
+    args = 1.0, x[:64], np.repeat(np.arange(64), 20), x[near], x[-512:]
+    few, many = (ann.chosen(*args, n, n // 20) for n in (4000, 400_000_000))
+    assert many.compared <= few.compared < 1 and min(few.recall, many.recall) >= ann.RECALL
 
 
 @pytest.mark.parametrize("kind", ["one long", "log-normal"])
-def test_small_tables_are_exact(spark, kind):
+def test_small_tables_can_be_searched_exactly(spark, kind):
     rows = skewed(kind, 500, 64)
-    assert check_recall(found(spark, rows, 20), rows, range(0, 500, 20)) == 1
+    assert check_recall(found(spark, rows, 20, whole=1024), rows, range(0, 500, 20)) == 1
 
 
 def test_queries_whose_buckets_are_empty_meet_all_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 64)
     rows = skewed("unit", 500, 64)
-    near = found(spark, rows, 20, tables=1, hashes=12, width=0.1, probes=1)
+    near = found(spark, rows, 20, setting=ann.Setting(1, 12, 0.1, 1))
     assert check_recall(near, rows, range(0, 500, 20)) == 1
 
 
@@ -145,7 +176,7 @@ def test_groups_hold_bounded_numbers_of_queries_and_rows(spark, monkeypatch):
     monkeypatch.setattr(ann, "_best", counting)
     # One vector everywhere, an id that repeats, and queries in one bucket.
     rows = [(20 * i, [1.0] * 8) for i in range(500)] + [(1, [0.5] * 8)] * 500
-    near = found(spark, rows, 5, tables=1, hashes=1, width=1e9, probes=1)
+    near = found(spark, rows, 5, setting=ann.Setting(1, 1, 1e9, 1))
     assert numbers.value == 0
     assert [i for i, _ in near[0]] == [20, 40, 60, 80, 100]
     assert [i for i, _ in near[40]] == [0, 20, 60, 80, 100]
@@ -155,7 +186,7 @@ def test_an_id_that_repeats_takes_one_place(spark):
     rows = [(0, [1.0] * 8)] + [(1, [9.0 - j / 100] * 8) for j in range(50)]
     rows += [(i, [1.0 + i / 100] * 8) for i in range(2, 12)]
     exact = brute(rows, 10, lambda i: i == 0)
-    near = found(spark, rows, tables=1, hashes=1, width=1e9, probes=1)
+    near = found(spark, rows, setting=ann.Setting(1, 1, 1e9, 1))
     assert [i for i, _ in near[0]] == [i for i, _ in exact[0]]
 
 

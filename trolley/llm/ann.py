@@ -9,13 +9,20 @@ its own bucket and perturbed ones, in the order of estimated success: the square
 distances to the cell borders that have to be crossed, summed. In each bucket the exact
 products are computed in double precision, and the best of all tables are merged.
 
-A range of at most BLOCK rows is one bucket that every query visits. Queries that have
-found fewer than asked for, although there are more ids, are compared with all rows.
+Tables, hashes, cell width and probes of a range are chosen from the data. PILOTS queries are
+compared with all rows in one pass; of the settings that find RECALL of their exact neighbours
+in the range, the one with the least work is taken, which depends on the number of rows. SAMPLE
+rows of each range tell how many rows a setting visits. A range that holds fewer than ENOUGH of
+these neighbours takes the setting that all neighbours together ask for. Only if no setting
+reaches the recall, all rows of the range are one cell. The size of a table or range switches
+nothing else; ``whole`` says which ranges are to be searched exactly (none by default).
+Queries that have found fewer than asked for, although there are more ids, are compared
+with all rows.
 
 A bucket is cut into blocks of about BLOCK vectors, and so are the queries that visit it.
 Each block of queries meets each block of vectors and keeps its own best, so a bucket may
-hold a third of all rows without going to one task, and none of its rows is left out. Every row with a usable vector is indexed; projections come from
-a fixed seed, so nothing is fitted but the largest norms.
+hold a third of all rows without going to one task, and none of its rows is left out. Every
+row with a usable vector is indexed; projections come from a fixed seed.
 
 Vectors that are null, empty, zero, of another length than most have, or that hold null
 or non-finite components take no part, and ids that are null do neither. Rows that
@@ -27,7 +34,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,15 +43,47 @@ from pyspark.sql import functions as F
 
 from trolley.llm.shared import written
 
-TABLES = 8
-HASHES = 3
-WIDTH = 0.8
-PROBES = 20
-BLOCK = 1024
+TABLES = (1, 2, 4, 8)
+HASHES = (1, 2, 3, 4, 6, 8, 12)
+WIDTHS = (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8)
+PROBES = (1, 4, 8, 16, 32)
+RECALL = 0.94
+PILOTS = 128
+SAMPLE = 512
+ENOUGH = 200
+#: One more copy of a vector costs as much as comparing so many pairs.
+COPY = 200
+BLOCK = 4096
 FOUND = "query_id bigint, vec_id bigint, score double"
 _SEED = 11
 
 
+@dataclass(frozen=True)
+class Setting:
+    """How the rows of a range are hashed and how many buckets of a table a query visits."""
+
+    tables: int
+    hashes: int
+    width: float
+    probes: int
+
+
+#: All rows of a range are in one cell.
+WHOLE = Setting(1, 1, 1e9, 1)
+
+
+@dataclass(frozen=True)
+class Choice:
+    """A setting, the share of pilots' neighbours it finds, and of the rows it compares.
+
+    Rows that a query meets in several tables count several times.
+    """
+
+    setting: Setting
+    recall: float
+    compared: float
+
+
 @dataclass(frozen=True)
 class Hashing:
     """Projections of all tables for vectors of one length."""
@@ -55,13 +94,12 @@ class Hashing:
     largest: float
 
     @classmethod
-    def make(
-        cls, size: int, largest: float, tables: int = TABLES, hashes: int = HASHES,
-        width: float = WIDTH,
-    ) -> Hashing:
-        random = np.random.default_rng(_SEED)
-        directions = random.normal(size=(tables, hashes, size + 1))
-        return cls(directions, random.uniform(0, width, (tables, hashes)), width, largest)
+    def make(cls, size: int, largest: float, setting: Setting) -> Hashing:
+        """Fewer tables of a setting are the first of more."""
+        shape = setting.tables, setting.hashes
+        directions = np.random.default_rng(_SEED).normal(size=(*shape, size + 1))
+        shifts = np.random.default_rng(_SEED + 1).uniform(0, setting.width, shape)
+        return cls(directions, shifts, setting.width, largest)
 
     def _cells(self, x: np.ndarray) -> np.ndarray:
         """Positions in cells: row, table, hash."""
@@ -73,7 +111,7 @@ class Hashing:
         rest = np.sqrt(np.maximum(0.0, 1.0 - (scaled * scaled).sum(axis=1)))
         return np.floor(self._cells(np.column_stack([scaled, rest]))).astype(np.int64)
 
-    def probed(self, x: np.ndarray, probes: int = PROBES) -> np.ndarray:
+    def probed(self, x: np.ndarray, probes: int) -> np.ndarray:
         """The cells that queries visit: row, table, probe, hash; best guess first."""
         unit = x / np.abs(x).max(axis=1, keepdims=True)  # squares of tiny values are zero
         unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
@@ -83,7 +121,7 @@ class Hashing:
         rows, tables, hashes = place.shape
         costs = np.stack([below, 1.0 - below], axis=-1).reshape(rows, tables, 2 * hashes) ** 2
         order = np.argsort(costs, axis=-1)
-        sets = _perturbations(hashes, probes)
+        sets = _perturbations(hashes, max(probes, *PROBES))
         out = np.repeat(home.astype(np.int64)[:, :, None, :], len(sets), axis=2)
         ranked = np.take_along_axis(costs, order, axis=-1)
         # The sets are ranked for every query by its own border distances.
@@ -173,14 +211,9 @@ def _norm(x: Column) -> Column:
     return F.least(large * F.sqrt(squares), F.lit(np.finfo(float).max.item()))
 
 
-def _whole(number: int) -> int:
-    """The bucket of all rows of a range."""
-    return int(_bucket(np.array([[number]], np.int64), np.array([2**40]))[0])
-
-
-def _tables(table_of: np.ndarray, number: int) -> np.ndarray:
+def _tables(setting: Setting, number: int) -> np.ndarray:
     """Tables of a range, numbered apart from those of others."""
-    return table_of + (int(number) + 2**15) * len(table_of)
+    return np.arange(setting.tables) + (int(number) + 2**15) * 1024
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -217,15 +250,148 @@ def _best(
             yield number, ids[near][order], exact[order]
 
 
+def _first_meeting(visited: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """The probe by which a query reaches a row in each table; a large number if by none."""
+    met = visited == held[..., None]
+    return np.where(met.any(axis=-1), met.argmax(axis=-1), 2**30)
+
+
+def chosen(
+    largest: float, queries: np.ndarray, owner: np.ndarray, near: np.ndarray, others: np.ndarray,
+    rows: int, asked: int, recall: float = RECALL,
+) -> Choice:
+    """The setting with the least work among those that reach ``recall``.
+
+    ``near`` are neighbours of the queries ``owner``, ``others`` a sample of the ``rows`` of a
+    range, and ``asked`` is the number of all queries.
+    """
+    best, least = Choice(WHOLE, 1.0, 1.0), np.inf
+    few = queries[:32]
+    for hashes in HASHES:
+        for width in WIDTHS:
+            widest = Setting(max(TABLES), hashes, width, max(PROBES))
+            hashing = Hashing.make(queries.shape[1], largest, widest)
+            numbers = _tables(widest, 0)
+            visited = _bucket(hashing.probed(queries, widest.probes), numbers[None, :, None])
+            held = _bucket(hashing.stored(near), numbers[None, :])
+            found = _first_meeting(visited[owner], held)
+            stored = _bucket(hashing.stored(others), numbers[None, :])
+            passed = _first_meeting(visited[: len(few), None], stored[None])
+            for tables in TABLES:
+                for probes in PROBES:
+                    reached = (found[:, :tables] < probes).any(axis=1).mean()
+                    if reached < recall:
+                        continue
+                    compared = (passed[..., :tables] < probes).mean(axis=(0, 1)).sum()
+                    visits = tables * min(probes, 3**hashes)
+                    work = asked * (rows * compared + COPY * visits) + COPY * tables * rows
+                    if work < least:
+                        least = work
+                        setting = Setting(tables, hashes, width, probes)
+                        best = Choice(setting, float(reached), float(compared))
+    return best
+
+
+def _pilot_neighbours(rows: DataFrame, pilots: list, most: int) -> list:
+    """(query_id, range, x) of the exact nearest of each pilot, from one pass over all rows."""
+    kind = rows.schema["x"].dataType.simpleString()
+    held = rows.sparkSession.sparkContext.broadcast(
+        (np.array([p["x"] for p in pilots], float), np.array([p["vec_id"] for p in pilots]))
+    )
+
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        queries, own = held.value
+        known = pd.DataFrame()
+        for frame in frames:
+            # The best rows until now are compared again with those of the next batch.
+            known = pd.concat([known, frame]) if len(known) else frame
+            known = known.sort_values("vec_id", kind="stable", ignore_index=True)
+            ids, x = known["vec_id"].to_numpy(), _matrix(known["x"])
+            hits = []
+            for number, (query, found, scores) in enumerate(_best(queries, own, ids, x, most)):
+                starts = np.searchsorted(ids, found, "left")
+                stops = np.searchsorted(ids, found, "right")
+                places = [a + int((x[a:b] @ queries[number]).argmax()) for a, b in zip(starts, stops)]
+                hits.append(pd.DataFrame({"query_id": query, "score": scores, "at": places}))
+            out = pd.concat(hits, ignore_index=True)
+            rest = known.iloc[out["at"]].reset_index(drop=True)
+            out = pd.concat([out[["query_id", "score"]], rest[["vec_id", "range", "x"]]], axis=1)
+            known = known.iloc[np.unique(np.concatenate([h["at"] for h in hits]).astype(int))]
+        if len(known):
+            yield out
+
+    found = rows.select("vec_id", "range", "x").mapInPandas(
+        near, f"query_id bigint, score double, vec_id bigint, range int, x {kind}"
+    )
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"), F.max_by(F.struct("range", "x"), "score").alias("row"))
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= most)
+        .select("query_id", "row.range", "row.x")
+        .collect()
+    )
+
+
+def choices(rows: DataFrame, queries: DataFrame, known: list, most: int, recall: float) -> dict:
+    """The choice for each range of ``known`` (range, rows, norm, size).
+
+    The driver gets PILOTS queries with their neighbours, and about SAMPLE rows of each range.
+    """
+    pilots = (
+        queries.dropDuplicates(["vec_id"]).orderBy(F.xxhash64("vec_id"), "vec_id")
+        .select("vec_id", "x").limit(PILOTS).collect()
+    )
+    near = _pilot_neighbours(rows, pilots, most) if pilots else []
+    if not near:
+        return {r["range"]: Choice(WHOLE, 1.0, 1.0) for r in known}
+    share = F.create_map(
+        *[F.lit(v) for r in known for v in (r["range"], int(1_000_000 * SAMPLE / r["rows"]) + 1)]
+    )[F.col("range")]
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), "place"), F.lit(1_000_000)) < share
+    others: dict[int, list] = {r["range"]: [] for r in known}
+    for row in rows.where(drawn).select("range", "x").collect():
+        others[row["range"]].append(row["x"])
+
+    asked = queries.count()
+    x = np.array([p["x"] for p in pilots], float)
+    number = {p["vec_id"]: i for i, p in enumerate(pilots)}
+    owner = np.array([number[n["query_id"]] for n in near])
+    place = np.array([n["range"] for n in near])
+    found = np.array([n["x"] for n in near], float)
+    rows_of = {r["range"]: r["rows"] for r in known}
+    norm_of = {r["range"]: r["norm"] for r in known}
+    # All neighbours together, each at the scale of its own range.
+    scale = np.array([norm_of[n] for n in place])
+    everywhere = found / scale[:, None]
+    drawn_rows = np.concatenate(
+        [np.array(o, float) / norm_of[n] for n, o in others.items() if o] or [everywhere]
+    )
+    total = sum(rows_of.values())
+    together = None
+    out = {}
+    for n, count in rows_of.items():
+        own = place == n
+        if own.sum() >= ENOUGH and others[n]:
+            sample = np.array(others[n], float)
+            out[n] = chosen(norm_of[n], x, owner[own], found[own], sample, count, asked, recall)
+        else:
+            together = together or chosen(1.0, x, owner, everywhere, drawn_rows, total, asked, recall)
+            out[n] = together
+    return out
+
+
 def nearest(
-    vectors: DataFrame, is_query: Column, most: int = 20, *, tables: int = TABLES,
-    hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES,
+    vectors: DataFrame, is_query: Column, most: int = 20, *, recall: float = RECALL,
+    setting: Setting | None = None, whole: int = 0,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``most`` nearest found for each query.
 
     ``is_query`` is a condition on vec_id. A query never finds rows of its own id.
+    Every range is hashed by ``setting`` if there is one, else by what the data ask for to reach
+    ``recall``. Ranges of at most ``whole`` rows are one cell, so that nothing of them is missed.
     """
-    spark = vectors.sparkSession
     usable_rows = usable_vectors(vectors).withColumn("norm", _norm(F.col("x")))
     # Norms of one length, such as 1, are in the middle of a range.
     rows = written(
@@ -237,28 +403,36 @@ def nearest(
         ),
         "vectors",
     )
-    kind = rows.schema["x"].dataType.simpleString()
     # As many ranges as there are exponents at most.
     known = rows.groupBy("range").agg(
         F.count(F.lit(1)).alias("rows"), F.max("norm").alias("norm"),
         F.first(F.size("x")).alias("size"),
     ).orderBy("range").collect()
-    base = Hashing.make(known[0]["size"] if known else 1, 1.0, tables, hashes, width)
+    queries = rows.where(is_query)
+    if setting:
+        settings = {r["range"]: setting for r in known}
+    else:
+        settings = {n: c.setting for n, c in choices(rows, queries, known, most, recall).items()}
+    settings |= {r["range"]: WHOLE for r in known if r["rows"] <= whole}
+    return _found(rows, queries, known, settings, most)
+
+
+def _found(
+    rows: DataFrame, queries: DataFrame, known: list, settings: dict[int, Setting], most: int
+) -> DataFrame:
+    spark = rows.sparkSession
+    kind = rows.schema["x"].dataType.simpleString()
     hashings = {
-        r["range"]: replace(base, largest=r["norm"]) for r in known if r["rows"] > BLOCK
+        r["range"]: (s := settings[r["range"]], Hashing.make(r["size"], r["norm"], s)) for r in known
     }
-    whole = {r["range"]: _whole(r["range"]) for r in known if r["rows"] <= BLOCK}
-    held = spark.sparkContext.broadcast((base, hashings))
-    table_of = np.arange(tables)
+    held = spark.sparkContext.broadcast(hashings)
 
     def stored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for number, part in frame.groupby("range"):
-                if number in whole:
-                    buckets = np.full((len(part), 1), whole[number])
-                else:
-                    cells = held.value[1][number].stored(_matrix(part["x"]))
-                    buckets = _bucket(cells, _tables(table_of, number)[None, :])
+                setting, hashing = held.value[number]
+                cells = hashing.stored(_matrix(part["x"]))
+                buckets = _bucket(cells, _tables(setting, number)[None, :])
                 each = buckets.shape[1]
                 yield pd.DataFrame(
                     {
@@ -275,18 +449,16 @@ def nearest(
             yield pd.DataFrame({"bucket": counts.index, "n": counts.to_numpy()})
 
     def probing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        base, hashings = held.value
         for frame in frames:
             for start in range(0, len(frame), 500):
                 part = frame.iloc[start : start + 500]
-                buckets = np.tile(np.array([*whole.values()], np.int64), (len(part), 1))
-                if hashings:
-                    cells = base.probed(_matrix(part["x"]), probes)
-                    ranged = [
-                        _bucket(cells, _tables(table_of, n)[None, :, None]).reshape(len(part), -1)
-                        for n in hashings
+                x = _matrix(part["x"])
+                buckets = np.column_stack(
+                    [
+                        _bucket(h.probed(x, s.probes), _tables(s, n)[None, :, None]).reshape(len(x), -1)
+                        for n, (s, h) in held.value.items()
                     ]
-                    buckets = np.column_stack([buckets, *ranged])
+                )
                 each = buckets.shape[1]
                 out = pd.DataFrame(
                     {
@@ -296,12 +468,11 @@ def nearest(
                         "q": np.repeat(np.arange(len(part)), each),
                     }
                 ).drop_duplicates()
-                x = part["x"].tolist()
-                yield out.assign(x=[x[i] for i in out["q"]])[["bucket", "place", "query_id", "x"]]
+                own = part["x"].tolist()
+                yield out.assign(x=[own[i] for i in out["q"]])[["bucket", "place", "query_id", "x"]]
 
     index = rows.mapInPandas(stored, f"bucket bigint, place bigint, vec_id bigint, x {kind}")
     index = written(index, "vector-index")
-    queries = rows.where(is_query)
     # Blocks of a bucket: as many as its rows and the queries that visit it need. Both
     # are dealt by their places and not by their ids, which may repeat.
     visits = queries.mapInPandas(visited, "bucket bigint, n bigint").groupBy("bucket")
@@ -332,7 +503,7 @@ def nearest(
     ranked = written(_ranked(found, most), "neighbours")
     # Those that found nothing are not among the ranked ones.
     there = min(most, rows.select("vec_id").distinct().limit(most + 1).count() - 1)
-    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id")).distinct()
+    asked = queries.select(F.col("vec_id").alias("query_id")).distinct()
     counts = ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
     short = written(
         asked.join(counts, "query_id", "left")
