@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from support import make_docs  # noqa: F401
 
@@ -87,7 +88,10 @@ def rows_of(ids):
     return [(i, TEXTS[n % len(TEXTS)]) for n, i in enumerate(ids)]
 
 
-def test_equals_brute_force(make_docs):
+@pytest.mark.parametrize("split", ["none", "some", "all"])
+def test_equals_brute_force(make_docs, monkeypatch, split):
+    pairs = {"none": [], "some": [0x6520, 0x7468, 0xFFFF], "all": range(1 << 16)}[split]
+    monkeypatch.setattr(ctw, "crowded_pairs", lambda *_: np.array(pairs, np.int64))
     rows = [*rows_of(range(30)), (None, "the cat"), (4, "another text of four")]
     docs = make_docs(*rows, parts=4)
     rest = fold(F.col("doc_id"), 7)
@@ -137,3 +141,27 @@ def test_no_training_text_and_no_text(make_docs):
 def test_log_gamma():
     x = np.array([0.5, 1.0, 2.5, 10.0, 1e3, 1e9])
     assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-10)
+
+
+def crowded(n, seed):
+    """Every third byte is followed by the same two."""
+    random = np.random.default_rng(seed)
+    return "".join(chr(c) + "ab" for c in random.integers(0x23, 0x60, n))
+
+
+def test_a_pair_with_a_third_of_all_runs_is_split(make_docs, monkeypatch):
+    monkeypatch.setattr(ctw, "BLOCK_CHARS", 3000)
+    docs = make_docs(*[(i, crowded(800, i)) for i in range(24)], parts=3)
+    blocks = ctw.text_blocks(docs, F.lit(True))
+    split = ctw.crowded_pairs(blocks, 64)
+    assert int.from_bytes(b"ab", "big") in split and len(split) <= ctw.MOST_SPLIT
+    data = [crowded(800, i).encode() for i in range(24)]
+    keys, _, _ = ctw._runs(data)
+    whole, apart = (
+        np.bincount(ctw._run_shard(keys, 64, s), minlength=64).max() / len(keys)
+        for s in (split[:0], split)
+    )
+    assert whole > 0.3 and apart < 0.1
+    found = {r.doc_id: r.score for r in ctw.scored(docs, F.lit(True)).collect()}
+    texts = [d.decode() for d in data]
+    assert np.allclose([found[i] for i in range(24)], brute_scores(texts, texts), rtol=1e-9)

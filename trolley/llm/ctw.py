@@ -10,8 +10,10 @@ training never met are left out of the mix, so every text has a positive probabi
 
 The model is never whole in one place. Texts are dealt into blocks. A block sends each
 distinct run of five bytes with its training count to the shard of the run's last two
-context bytes, which holds the whole subtree below them. What lies above are sums of
-fixed size (65,280 nodes at most), which go through the driver. The shards send the
+context bytes, which holds the whole subtree below them. Pairs with more than an even
+share of the runs (MOST_SPLIT of them at most, found on SAMPLED blocks) are split by a third
+byte; which ones they are changes no result. What lies above are sums of bounded size (65,280
+nodes, and 255 for each split pair), which go through the driver. The shards send the
 log probabilities of their runs back to the blocks, which add them up by text. Words
 go the same way for the unigram base. Runs and words arrive counted, once per
 block, so a frequent one costs no more than others.
@@ -40,6 +42,9 @@ LEAST_SHARDS = 64
 END = 255
 #: Nodes of the contexts of fewer bytes than this are known everywhere.
 UPPER = 2
+#: A pair of context bytes is split if it has more than one in so many runs.
+MOST_SPLIT = 1024
+SAMPLED = 32
 _DOC_BITS = 24
 _LEVELS = np.arange(8)
 LN10 = float(np.log(10.0))
@@ -114,9 +119,17 @@ def _digests(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(data, _DIGEST)
 
 
-def _run_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    pair = (keys >> 8 & 0xFFFF).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((pair >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+def _pair(keys: np.ndarray) -> np.ndarray:
+    return keys >> 8 & (1 << 8 * UPPER) - 1
+
+
+def _run_shard(keys: np.ndarray, shards: int, split: np.ndarray) -> np.ndarray:
+    """By the last two context bytes, by three for the pairs in ``split``."""
+    three = 8 * (UPPER + 1)
+    longer = keys >> 8 & (1 << three) - 1 | 1 << three
+    context = np.where(np.isin(_pair(keys), split), longer, _pair(keys)).astype(np.uint64)
+    mixed = context * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
 
 
 def _word_shard(digests: np.ndarray, shards: int) -> np.ndarray:
@@ -202,14 +215,14 @@ def _level(nodes: np.ndarray, a: np.ndarray, b: np.ndarray, deeper: Level | None
     )
 
 
-def lower_levels(keys: np.ndarray, counts: np.ndarray) -> list[Level]:
-    """Levels UPPER to DEPTH of the runs (distinct) with their training counts."""
+def lower_levels(keys: np.ndarray, counts: np.ndarray, first: int = UPPER) -> list[Level]:
+    """Levels ``first`` to DEPTH of the runs (distinct) with their training counts."""
     keys, counts = keys[counts > 0], counts[counts > 0].astype(float)
     node, bit = _paths(keys)
     ones = (bit * counts[:, None]).ravel()
     zeros = ((1 - bit) * counts[:, None]).ravel()
     out: list[Level] = []
-    for depth in range(DEPTH, UPPER - 1, -1):
+    for depth in range(DEPTH, first - 1, -1):
         out.insert(0, _level(_of_depth(keys, node, depth), zeros, ones, out[0] if out else None, depth))
     return out
 
@@ -348,14 +361,55 @@ def _word_replies(frame: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _sums_above(frame: pd.DataFrame) -> pd.DataFrame:
-    """Sums over the subtrees of a shard, by the nodes just above them."""
-    keys, totals, _, _ = _merged(frame, "<i8")
-    top = lower_levels(keys, totals)[0]
-    nodes = (top.nodes >> 8 & (1 << 8 * (UPPER - 1)) - 1) << 8 | top.nodes & 255
+def _sums_above(keys: np.ndarray, totals: np.ndarray, first: int) -> pd.DataFrame:
+    """Sums over the subtrees of level ``first``, by the nodes just above them."""
+    top = lower_levels(keys, totals, first)[0]
+    every, sums = _by_parent(top, first - 1)
+    return pd.DataFrame({"depth": first - 1, "node": every} | sums)
+
+
+def _by_parent(level: Level, depth: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    nodes = (level.nodes >> 8 & (1 << 8 * depth) - 1) << 8 | level.nodes & 255
     every, at = np.unique(nodes, return_inverse=True)
-    sums = [np.bincount(at, weights=w, minlength=len(every)) for w in (top.a, top.b, top.log_weighted)]
-    return pd.DataFrame({"node": every, "a": sums[0], "b": sums[1], "below": sums[2]})
+    weights = {"a": level.a, "b": level.b, "below": level.log_weighted}
+    return every, {
+        name: np.bincount(at, weights=w, minlength=len(every)) for name, w in weights.items()
+    }
+
+
+def levels_above(sums: pd.DataFrame) -> tuple[list[Level], Level]:
+    """Levels 0 to UPPER - 1, and of level UPPER the nodes of the pairs that are split."""
+    columns = ["node", "a", "b", "below"]
+    own = sums[sums["depth"] == UPPER].sort_values("node")
+    pairs = Level(*[own[c].to_numpy() for c in columns])
+    every, carried = _by_parent(pairs, UPPER - 1)
+    rest = pd.concat([sums.loc[sums["depth"] < UPPER, columns], pd.DataFrame({"node": every} | carried)])
+    rest = rest.groupby("node", as_index=False).sum()
+    return upper_levels(*[rest[c].to_numpy() for c in columns]), pairs
+
+
+def crowded_pairs(blocks: DataFrame, shards: int) -> np.ndarray:
+    """Pairs of context bytes that hold more than an even share of the runs of some blocks.
+
+    There are MOST_SPLIT of them at most. They only say which group holds what.
+    """
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples():
+                keys, _, _ = _runs(_unpacked(row.packed, row.sizes))
+                pairs, n = np.unique(_pair(keys), return_counts=True)
+                yield pd.DataFrame({"pair": pairs, "n": n})
+
+    order = F.xxhash64("block")
+    some = [row.block for row in blocks.select("block").orderBy(order).limit(SAMPLED).collect()]
+    counts = (
+        blocks.where(F.col("block").isin(some)).select("sizes", "packed")
+        .mapInPandas(count, "pair bigint, n bigint")
+        .groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    )
+    least = max(1 / shards, 1 / MOST_SPLIT)
+    return np.sort(counts.loc[counts["n"] > least * counts["n"].sum(), "pair"].to_numpy(np.int64))
 
 
 def scored(docs: DataFrame, is_training: Column) -> DataFrame:
@@ -367,14 +421,20 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     """
     spark = docs.sparkSession
     blocks = text_blocks(docs, is_training)
-    shards = max(LEAST_SHARDS, blocks.count())
+    # As many tasks as blocks, so that what a task reads does not grow with the input.
+    tasks = max(1, blocks.count())
+    shards = max(LEAST_SHARDS, tasks)
+    split = crowded_pairs(blocks, shards)
+
+    def run_shard(keys: np.ndarray, shards: int) -> np.ndarray:
+        return _run_shard(keys, shards, split)
 
     contents = blocks.select("block", "training", "sizes", "packed")
     words = contents.mapInPandas(
         _sender(_word_counts, _word_shard, shards), SENT
     )
     word_replies = written(
-        words.groupBy("shard").applyInPandas(
+        words.repartition(tasks, "shard").groupBy("shard").applyInPandas(
             _word_replies,
             "block bigint, shard bigint, reply binary, known bigint, tokens bigint",
         ),
@@ -384,23 +444,34 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
     distinct, tokens = sums["known"] or 0, sums["tokens"] or 0
 
     runs = written(
-        contents.mapInPandas(_sender(_run_counts, _run_shard, shards), SENT),
+        contents.mapInPandas(_sender(_run_counts, run_shard, shards), SENT),
         "byte-runs",
-    )
+    ).repartition(tasks, "shard")
+
+    def sums_above(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, totals, _, _ = _merged(frame, "<i8")
+        apart = np.isin(_pair(keys), split)
+        parts = ((~apart, UPPER), (apart, UPPER + 1))
+        return pd.concat([_sums_above(keys[own], totals[own], first) for own, first in parts])
+
     above = (
         runs.groupBy("shard")
-        .applyInPandas(_sums_above, "node bigint, a double, b double, below double")
-        .groupBy("node")
+        .applyInPandas(sums_above, "depth int, node bigint, a double, b double, below double")
+        .groupBy("depth", "node")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("below").alias("below"))
         .toPandas()
     )
-    upper = upper_levels(*[above[c].to_numpy() for c in ("node", "a", "b", "below")])
-    held = spark.sparkContext.broadcast(upper)
+    held = spark.sparkContext.broadcast(levels_above(above))
 
     def run_replies(frame: pd.DataFrame) -> pd.DataFrame:
         keys, totals, at, cuts = _merged(frame, "<i8")
-        levels = [*held.value, *lower_levels(keys, totals)]
-        return _reply(frame, log_probabilities(keys, levels)[at].astype("<f8"), cuts)
+        upper, pairs = held.value
+        apart = np.isin(_pair(keys), split)
+        log_p = np.zeros(len(keys))
+        for own, above, first in ((~apart, upper, UPPER), (apart, [*upper, pairs], UPPER + 1)):
+            levels = [*above, *lower_levels(keys[own], totals[own], first)]
+            log_p[own] = log_probabilities(keys[own], levels)
+        return _reply(frame, log_p[at].astype("<f8"), cuts)
 
     replies = (
         runs.groupBy("shard")
@@ -416,7 +487,7 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
         data = _unpacked(block["packed"].iloc[0], block["sizes"].iloc[0])
         n = len(data)
         keys, first, owner = _runs(data)
-        log_p = _answers(got[~got["of_words"]], _run_shard(keys, shards), "<f8")
+        log_p = _answers(got[~got["of_words"]], run_shard(keys, shards), "<f8")
         each = np.repeat(log_p, np.diff(np.append(first, len(owner))))
         score = np.bincount(owner, weights=each, minlength=n) / LN10
         n_bytes = np.bincount(owner, minlength=n) - 1
@@ -441,8 +512,9 @@ def scored(docs: DataFrame, is_training: Column) -> DataFrame:
 
     return (
         blocks.select("block", "doc_id", "sizes", "packed")
+        .repartition(tasks, "block")
         .groupBy("block")
-        .cogroup(replies.groupBy("block"))
+        .cogroup(replies.repartition(tasks, "block").groupBy("block"))
         .applyInPandas(
             add_up,
             "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, "
