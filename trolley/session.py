@@ -13,6 +13,7 @@ from trolley.settings import Settings
 JOB_SCRATCH = "trolley.scratch"
 UTC_NAMES = ("UTC", "Etc/UTC", "Z", "+00:00", "GMT", "UCT")
 BLOOM_FILTER = "spark.sql.optimizer.runtime.bloomFilter"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_STATE_STORE = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -33,7 +34,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE_STORE)
+        .config(STATE_STORE, ROCKSDB_STATE_STORE)
         # Joins with a filtered list of ids drop rows at the scan from these sizes on.
         .config(f"{BLOOM_FILTER}.enabled", "true")
         .config(f"{BLOOM_FILTER}.applicationSideScanSizeThreshold", "1GB")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trolley.operators.constraints import conform, keeps_rules
 from trolley.schemas import FLASH_SALE_ALERTS, WINDOWED_STATS
-from trolley.session import passing_scratch, written
+from trolley.session import ROCKSDB_STATE_STORE, STATE_STORE, passing_scratch, written
 from trolley.settings import Settings
 from trolley.sinks.tables import create_tables, upsert
 from trolley.sources.serving import rejected_path
@@ -18,6 +20,7 @@ from trolley.streaming import watch
 
 Trigger = dict[str, Any]
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+HEAP_STATE_STORE = "HDFSBackedStateStoreProvider"
 WINDOW_COLUMNS = ("window_start", "window_end", "product_id", *watch.COUNTS)
 ALERT_COLUMNS = ("window_start", "window_end", "product_id", "views", "purchases")
 
@@ -30,6 +33,19 @@ def _writer(
     return writer.option("checkpointLocation", checkpoint) if checkpoint else writer
 
 
+@contextmanager
+def _set(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session in the block; a query that is started there keeps them."""
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def make_history(spark: SparkSession, path: str) -> None:
     """The folder of the history, so that it can be read before anything is in it."""
     spark.createDataFrame([], WINDOWED_STATS).write.mode("ignore").parquet(path)
@@ -151,7 +167,8 @@ def start_windows(
 
     ``changes`` are those of ``watch.window_changes``. They are computed once in each
     trigger, by the write to the scratch folder, and read from there. An alert that is
-    withdrawn leaves the table. A batch that runs again gives the same tables.
+    withdrawn leaves the table. A batch that runs again gives the same tables. The state
+    is in RocksDB, also in a session with Spark's default store.
     """
     spark = changes.sparkSession
     if root:
@@ -178,13 +195,14 @@ def start_windows(
 
     trigger = trigger or {"processingTime": settings.alert_trigger}
     writer = _writer(changes, "windows", "update", checkpoint, trigger).foreachBatch(take)
-    if settings.watermark or not {"availableNow", "once"} & {*trigger}:
+    conf = {}
+    if spark.conf.get(STATE_STORE).endswith(HEAP_STATE_STORE):
+        # The default store of a session knows one kind of state only: no timers beside the
+        # counts, no time to live.
+        conf[STATE_STORE] = ROCKSDB_STATE_STORE
+    if not settings.watermark and {"availableNow", "once"} & {*trigger}:
+        # State that ends by time is looked for in empty batches, without end: a query
+        # that is to stop by itself must not make any.
+        conf[EMPTY_BATCHES] = "false"
+    with _set(spark, conf):
         return writer.start()
-    # State that ends by time is looked for in empty batches, without end: a query
-    # that is to stop by itself must not make any.
-    before = spark.conf.get(EMPTY_BATCHES)
-    spark.conf.set(EMPTY_BATCHES, "false")
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(EMPTY_BATCHES, before)
