@@ -68,3 +68,8 @@ def test_a_state_that_ends_by_time(plain, tmp_path):
     held = state.open_windows(plain, str(tmp_path / "windows"))
     assert in_order(held, start_text(), "product_id", "views") == [("09:55", "a", 2), ("10:00", "a", 2)]
     assert held.where("expires_at IS NULL").count() == 0
+
+
+def test_open_windows(plain, tables):
+    found, expected = found_and_expected(plain, tables, "stream_state_windows")
+    assert found == expected and found
