@@ -687,9 +687,10 @@ def stream_flash_sale_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(found.drop("detected_at", "window_hour"))
 
 
-def _watched(spark: SparkSession, settings: Settings, events: DataFrame, name: str):
-    """The job over a bounded stream until nothing is left; its checkpoint."""
-    checkpoint = scratch_path(spark, f"{name}-checkpoint")
+def _watched(
+    spark: SparkSession, settings: Settings, events: DataFrame, checkpoint: str
+) -> None:
+    """The job over a bounded stream until nothing is left."""
     changes = watch.window_changes(
         events,
         settings.window,
@@ -705,10 +706,9 @@ def _watched(spark: SparkSession, settings: Settings, events: DataFrame, name: s
         settings.tables_path,
         settings.history_path,
         checkpoint,
-        {"availableNow": True},
+        ALL_NOW,
     )
     query.awaitTermination()
-    return checkpoint
 
 
 def _alert_settings(spark: SparkSession, **values) -> Settings:
@@ -726,7 +726,8 @@ def _alert_settings(spark: SparkSession, **values) -> Settings:
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts in their table and closed windows in the history, from one read and one state."""
     settings = _alert_settings(spark, history_path=scratch_path(spark, "watched-history"))
-    _watched(spark, settings, stream_shop_events(spark, sf_dir), "windows")
+    checkpoint = scratch_path(spark, "windows-checkpoint")
+    _watched(spark, settings, stream_shop_events(spark, sf_dir), checkpoint)
     key = ("window_start", "window_end", "product_id", "views", "purchases")
     alerts = serving.read_table(spark, settings.tables_path, schemas.FLASH_SALE_ALERTS)
     closed = serving.read_history(spark, settings.history_path)
@@ -742,7 +743,8 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows that a stopped stream holds, read from the state in its checkpoint."""
     settings = _alert_settings(spark, history_path=scratch_path(spark, "watched-history"))
-    checkpoint = _watched(spark, settings, stream_shop_events(spark, sf_dir), "state")
+    checkpoint = scratch_path(spark, "state-checkpoint")
+    _watched(spark, settings, stream_shop_events(spark, sf_dir), checkpoint)
     return plain(state.open_windows(spark, checkpoint).drop("alerted", "expires_at"))
 
 
@@ -750,27 +752,36 @@ def stream_state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_trigger_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and malformed messages of each trigger, as a listener has written them.
 
-    The messages come in files of ten days, one for each trigger.
+    The messages come in folders of ten days; the job runs once for each, and goes on from
+    its checkpoint.
     """
     events = read_shop_events(spark, sf_dir)
-    folder, path = scratch_path(spark, "messages"), scratch_path(spark, "trigger-metrics")
+    written, folder = scratch_path(spark, "thirds"), scratch_path(spark, "messages")
     third = F.floor((F.dayofmonth("event_date") - 1) / 10).alias("third")
-    # The date is no part of a message; it only deals the rows to files.
-    _messages(events, third).repartition("third").write.partitionBy("third").parquet(folder)
+    # The date is no part of a message; it only deals the rows to folders.
+    _messages(events, third).write.partitionBy("third").parquet(written)
     kept = schemas.struct(value=T.BinaryType(), third=T.IntegerType())
-    messages = spark.readStream.schema(kept).option("maxFilesPerTrigger", 1).parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
     settings = _alert_settings(spark, watermark="60 days")
-    listener = metrics.TriggerMetrics(spark, path)
+    checkpoint = scratch_path(spark, "metrics-checkpoint")
+    figures = scratch_path(spark, "trigger-metrics")
+    listener = metrics.TriggerMetrics(spark, figures)
     spark.streams.addListener(listener)
     try:
-        observed = metrics.observe_events(pipeline.events_of(messages))
-        _watched(spark, settings, observed, "metrics")
+        for status in store.globStatus(path(f"{written}/third=*")):
+            arrived = status.getPath()
+            store.rename(arrived, path(f"{folder}/{arrived.getName()}"))
+            messages = spark.readStream.schema(kept).parquet(folder)
+            observed = metrics.observe_events(pipeline.events_of(messages))
+            _watched(spark, settings, observed, checkpoint)
         # Progress comes a moment after the query has ended.
         spark._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
         spark.streams.removeListener(listener)
         listener.flush()
-    found = metrics.read_metrics(spark, path).where("events > 0")
+    found = metrics.read_metrics(spark, figures).where("events > 0")
     return found.select("events", "malformed", "undated", "late_events", "newest_event")
 
 

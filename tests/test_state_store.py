@@ -73,3 +73,8 @@ def test_a_state_that_ends_by_time(plain, tmp_path):
 def test_open_windows(plain, tables):
     found, expected = found_and_expected(plain, tables, "stream_state_windows")
     assert found == expected and found
+
+
+def test_figures_of_triggers(plain, tables):
+    found, expected = found_and_expected(plain, tables, "stream_trigger_metrics")
+    assert found == expected and len(found) > 1
